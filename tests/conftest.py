@@ -7,10 +7,9 @@ from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
-# Python workers must find the package and the test clients.
-os.environ["PYTHONPATH"] = os.pathsep.join(
-    [str(ROOT), str(ROOT / "tests"), os.environ.get("PYTHONPATH", "")]
-)
+# Python workers must find the test clients; the package itself travels with the
+# jobs.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT / "tests"), os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")
