@@ -31,9 +31,11 @@ from facetforge.operators.encoding import (
 from facetforge.storage import enable_checkpoints, materialise
 
 SCORE_COLUMNS = ("label", "features", "rawPrediction", "probability", "prediction")
-# Distinct training rows one task works on; boosting runs thousands of short
-# stages, so small inputs must not be spread thin.
+# Boosting runs thousands of short stages, so small inputs must not be spread
+# thin; and a training row is held as one 4-byte bin per vector position, so wide
+# rows need more tasks.
 ROWS_PER_TRAINING_TASK = 20_000
+BYTES_PER_TRAINING_TASK = 128 * 1024 * 1024
 
 
 def distinct_rows(df: DataFrame, attributes: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
@@ -70,9 +72,14 @@ def classifier(settings: BoostSettings) -> GBTClassifier:
     )
 
 
-def sized_for_training(df: DataFrame, rows: int) -> DataFrame:
-    """Bring the training rows to a partition count that fits their number."""
-    wanted = max(1, -(-rows // ROWS_PER_TRAINING_TASK))
+def sized_for_training(df: DataFrame, rows: int, width: int) -> DataFrame:
+    """Bring the training rows to a partition count that fits their number and
+    size: enough to keep the cluster busy, and never too large to hold."""
+    by_work = min(
+        -(-rows // ROWS_PER_TRAINING_TASK), 4 * df.sparkSession.sparkContext.defaultParallelism
+    )
+    by_size = -(-rows * 4 * width // BYTES_PER_TRAINING_TASK)
+    wanted = max(1, by_work, by_size)
     return df.repartition(wanted) if wanted > 1 else df.coalesce(1)
 
 
@@ -94,9 +101,11 @@ def prepare_training(df: DataFrame, task: ClassificationTask) -> TrainingSet:
     enable_checkpoints(df.sparkSession)
     attributes = feature_columns(df, task)
     compact = materialise(distinct_rows(with_label(df, task), attributes), "training-rows")
-    preparation = encoder(compact, fit_vocabulary(compact, attributes, weight="weight"))
+    vocabulary = fit_vocabulary(compact, attributes, weight="weight")
+    preparation = encoder(compact, vocabulary)
     prepared = encode(compact, preparation, attributes, ("label", "features", "weight"))
-    rows = sized_for_training(prepared, compact.count()).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = sized_for_training(prepared, compact.count(), vocabulary.width)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     rows.count()
     return TrainingSet(rows, preparation)
 

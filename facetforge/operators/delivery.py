@@ -70,7 +70,11 @@ def is_loaded(documents: DataFrame, dataset_type: str, threshold: int = PRESENT_
 
 
 def not_yet_stored(documents: DataFrame, stored: DataFrame) -> DataFrame:
-    """Documents whose id the store does not hold under the same tag."""
+    """Documents whose id the store does not hold under the same tag.
+
+    Ids are hashes, so the join keys are spread evenly. Of the store only the
+    ids are read.
+    """
     present = stored.select("dataset_type", "id")
     return documents.join(present, ["dataset_type", "id"], "left_anti").select(*documents.columns)
 
@@ -146,16 +150,21 @@ def load_documents(
     "divert", the documents go to ``fallback_path``. With "resume" only those
     that are missing are added. On an error the fallback is written and the
     error raised again.
+
+    ``documents`` is read twice (good and bad rows), so it should come from a
+    stored table, not from a long computation.
     """
     if when_present not in ("divert", "resume"):
         raise ValueError("when_present must be divert or resume")
     if store_path is None:
         return _divert(documents, fallback_path)
     stored = open_store(documents.sparkSession, store_path, format)
+    stored = stored.filter(F.col("dataset_type") == dataset_type)
     if when_present == "divert" and is_loaded(stored, dataset_type, threshold):
         return _divert(documents, fallback_path)
     try:
-        missing = not_yet_stored(documents, stored.filter(F.col("dataset_type") == dataset_type))
+        # A first load has nothing to compare with and needs no shuffle.
+        missing = documents if stored.isEmpty() else not_yet_stored(documents, stored)
         good, bad = split_documents(missing, problem)
         good, written = _counted(good)
         good.write.mode("append").partitionBy("dataset_type").format(format).save(store_path)

@@ -154,7 +154,8 @@ def cross_validate(
     prepared = encode(
         compact, encoder(compact, vocabulary), attributes, ("label", "features", "weight", "fold")
     )
-    training = sized_for_training(prepared, compact.count()).persist(StorageLevel.MEMORY_AND_DISK)
+    training = sized_for_training(prepared, compact.count(), vocabulary.width)
+    training = training.persist(StorageLevel.MEMORY_AND_DISK)
     trees = classifier(settings)
     validator = CrossValidator(
         estimator=trees,

@@ -85,7 +85,7 @@ def _search(
     size = matrix.shape[1]
 
     candidates = documents.select(
-        column(id_column).alias("_id"), column(vector_column).cast("array<double>").alias("vector")
+        column(id_column).alias("_id"), column(vector_column).alias("vector")
     ).filter(F.col("vector").isNotNull())
     schema = T.StructType(
         [
@@ -96,35 +96,35 @@ def _search(
     )
 
     def best_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple[np.ndarray, pa.Array] | None] = [None] * len(matrix)
+        kept: dict[int, tuple[np.ndarray, pa.Array]] = {}
+        # Similarity a document must reach to be among the best k of a query.
+        entry = np.full(len(matrix), -np.inf)
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
             ids, vectors = batch.column(0), batch.column(1)
             sizes = vectors.value_lengths().to_numpy(zero_copy_only=False)
             if (sizes != size).any():
                 raise ValueError(f"stored vectors must have {size} elements like the queries")
-            block = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-            lengths = np.linalg.norm(block, axis=1)
+            block = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            block = block.reshape(-1, size)
             with np.errstate(divide="ignore", invalid="ignore"):
-                similarity = (matrix @ block.T) / lengths
+                similarity = (matrix @ block.T) / np.linalg.norm(block, axis=1)
             similarity = np.round(similarity, SIMILARITY_DECIMALS)
-            for q in range(len(matrix)):
-                scores, found = similarity[q], ids
-                if kept[q] is not None:
+            # Comparisons with NaN are false, which leaves zero vectors out.
+            reached = similarity >= entry[:, None]
+            for q in np.flatnonzero(reached.any(axis=1)):
+                places = np.flatnonzero(reached[q])
+                scores, found = similarity[q, places], ids.take(pa.array(places))
+                if q in kept:
                     scores = np.concatenate([kept[q][0], scores])
-                    found = pa.concat_arrays([kept[q][1], ids])
+                    found = pa.concat_arrays([kept[q][1], found])
                 kept[q] = _best(scores, found, k)
-        for q, best in enumerate(kept):
-            if best is not None and len(best[0]):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(best[0]), q, dtype=np.int32)),
-                        best[1],
-                        pa.array(best[0]),
-                    ],
-                    names=["_query", "_id", "similarity"],
-                )
+                if len(kept[q][0]) == k:
+                    entry[q] = kept[q][0][-1]
+        for q, (scores, found) in kept.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(scores), q, dtype=np.int32)), found, pa.array(scores)],
+                names=["_query", "_id", "similarity"],
+            )
 
     by_similarity = Window.partitionBy("_query").orderBy(F.col("similarity").desc(), F.col("_id"))
     ranked = (
@@ -142,11 +142,9 @@ def _search(
 
 
 def _best(scores: np.ndarray, ids: pa.Array, k: int) -> tuple[np.ndarray, pa.Array]:
-    """The k highest scores, equal ones by id; NaN is never among them."""
-    usable = np.flatnonzero(~np.isnan(scores))
-    if len(usable) > k:
-        cut = np.partition(scores[usable], len(usable) - k)[len(usable) - k]
-        usable = usable[scores[usable] >= cut]
-    table = pa.table({"score": scores[usable], "id": ids.take(pa.array(usable))})
-    order = table.sort_by([("score", "descending"), ("id", "ascending")]).slice(0, k)
-    return order["score"].to_numpy(), order["id"].combine_chunks()
+    """The k highest scores from high to low, equal ones by id."""
+    order = pa.table({"score": scores, "id": ids}).sort_by(
+        [("score", "descending"), ("id", "ascending")]
+    )
+    best = order.slice(0, k)
+    return best["score"].to_numpy(), best["id"].combine_chunks()

@@ -193,11 +193,10 @@ def batch_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five vectors nearest to the mean vector of each label."""
-    embeddings = table(spark, sf_dir, "embeddings").withColumn(
-        "embedding", F.col("embedding").cast("array<double>")
-    )
+    embeddings = table(spark, sf_dir, "embeddings")
+    vector = array_to_vector(F.col("embedding").cast("array<double>"))
     means = embeddings.groupBy("label").agg(
-        vector_to_array(Summarizer.mean(array_to_vector("embedding"))).alias("mean_vector")
+        vector_to_array(Summarizer.mean(vector)).alias("mean_vector")
     )
     nearest = nearest_documents(
         embeddings, means, 5, "vec_id", "embedding", "label", "mean_vector"

@@ -38,7 +38,11 @@ def enable_checkpoints(spark: SparkSession) -> None:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path not used before. All paths of one application lie under one
+    folder, which can be deleted as a whole when its results are no longer read.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/facetforge-{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
