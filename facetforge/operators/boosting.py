@@ -30,7 +30,9 @@ from facetforge.operators.encoding import (
 )
 from facetforge.storage import enable_checkpoints, materialise
 
-SCORE_COLUMNS = ("label", "features", "rawPrediction", "probability", "prediction")
+MODEL_COLUMNS = ("features", "rawPrediction", "probability", "prediction")
+# Most attribute combinations whose scores may be broadcast (below 1 kB each).
+MAX_LOCAL_COMBINATIONS = 100_000
 # Boosting runs thousands of short stages, so small inputs must not be spread
 # thin; and a training row is held as one 4-byte bin per vector position, so wide
 # rows need more tasks.
@@ -90,6 +92,7 @@ class TrainingSet:
 
     rows: DataFrame
     encoder: PipelineModel
+    distinct_rows: int
 
     def release(self) -> None:
         self.rows.unpersist()
@@ -104,10 +107,10 @@ def prepare_training(df: DataFrame, task: ClassificationTask) -> TrainingSet:
     vocabulary = fit_vocabulary(compact, attributes, weight="weight")
     preparation = encoder(compact, vocabulary)
     prepared = encode(compact, preparation, attributes, ("label", "features", "weight"))
-    rows = sized_for_training(prepared, compact.count(), vocabulary.width)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    count = compact.count()
+    rows = sized_for_training(prepared, count, vocabulary.width).persist(StorageLevel.MEMORY_AND_DISK)
     rows.count()
-    return TrainingSet(rows, preparation)
+    return TrainingSet(rows, preparation, count)
 
 
 def fit_trees(training: TrainingSet, settings: BoostSettings = BoostSettings()) -> PipelineModel:
@@ -126,20 +129,55 @@ def train_classifier(
         training.release()
 
 
-def score(df: DataFrame, model: PipelineModel, task: ClassificationTask) -> DataFrame:
+def score(
+    df: DataFrame, model: PipelineModel, task: ClassificationTask, by_combination: bool = False
+) -> DataFrame:
     """Keys, label (when the target is there), features and the model's columns
-    for every row. No shuffle."""
+    for every row.
+
+    A model gives equal rows equal scores. With ``by_combination`` each distinct
+    combination of attributes is scored once and the scores are joined to the
+    rows by broadcast, provided the combinations are few enough; otherwise, and
+    by default, every row runs through the model. Neither way shuffles the rows.
+    """
     attributes = feature_columns(df, task)
     rows = with_label(df, task) if task.target in df.columns else df
-    columns = [c for c in SCORE_COLUMNS if c != "label" or task.target in df.columns]
-    # Keys are carried under their own values even where they are attributes too.
-    carried = rows.select("*", *[column(k).alias(f"_key_{i}") for i, k in enumerate(task.keys)])
-    scored = encode(carried, model, attributes)
+    label = ["label"] if task.target in df.columns else []
+    # Keys are carried under names of their own, so that a column may be key and
+    # attribute at once.
+    carried = as_categories(
+        rows.select(
+            *[column(k).alias(f"_key_{i}") for i, k in enumerate(task.keys)],
+            *label,
+            *[column(a) for a in attributes],
+        ),
+        attributes,
+    )
+    combinations = _few_combinations(carried, attributes) if by_combination else None
+    if combinations is None:
+        scored = encode(carried, model, attributes)
+    else:
+        scores = materialise(encode(combinations, model, attributes), "combination-scores")
+        scored = _join_scores(carried, scores, attributes)
     return scored.select(
-        *[F.col(f"_key_{i}").alias(k) for i, k in enumerate(task.keys)], *columns
+        *[F.col(f"_key_{i}").alias(k) for i, k in enumerate(task.keys)], *label, *MODEL_COLUMNS
     )
 
 
+def _few_combinations(rows: DataFrame, attributes: Sequence[str]) -> DataFrame | None:
+    """The distinct attribute combinations, or None if there are too many."""
+    distinct = rows.select(*[column(a) for a in attributes]).distinct()
+    stored = materialise(distinct, "combinations")
+    return stored if stored.count() <= MAX_LOCAL_COMBINATIONS else None
+
+
+def _join_scores(rows: DataFrame, scores: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    # Structs are equal when all fields are, NULL fields included.
+    left = rows.withColumn("_combination", F.struct(*[column(a) for a in attributes]))
+    right = scores.select(F.struct(*[column(a) for a in attributes]).alias("_combination"), *MODEL_COLUMNS)
+    return left.join(F.broadcast(right), "_combination")
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -92,8 +92,10 @@ def batch_numbers(
     whole table. Writers that need only *some* batching chunk their own
     partition instead and pay no sort."""
     numbered = number_rows(df, order_by, "_number")
-    batch = F.floor((F.col("_number") - F.lit(1)) / F.lit(batch_size)) + F.lit(1)
-    return numbered.withColumn(name, batch.cast("bigint")).drop("_number")
+    before = F.col("_number") - F.lit(1)
+    # Taking the remainder off first keeps the division exact for any row count.
+    batch = ((before - before % F.lit(batch_size)) / F.lit(batch_size)).cast("bigint") + F.lit(1)
+    return numbered.withColumn(name, batch).drop("_number")
 
 
 def number_copies(df: DataFrame, name: str = "copy_no", run_length: int = 100_000) -> DataFrame:

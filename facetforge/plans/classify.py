@@ -8,7 +8,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from facetforge.config import BoostSettings, ClassificationTask
-from facetforge.operators.boosting import fit_trees, prepare_training, score, train_classifier
+from facetforge.operators.boosting import (
+    MAX_LOCAL_COMBINATIONS,
+    fit_trees,
+    prepare_training,
+    score,
+    train_classifier,
+)
 from facetforge.operators.delivery import LoadResult, load_documents
 from facetforge.operators.documents import vector_documents
 from facetforge.operators.metrics import confusion_matrix, holdout_split, summary
@@ -59,7 +65,9 @@ def run_classification(
     finally:
         prepared.release()
     with timer.phase("predict"):
-        scored = materialise(score(table, model, task), "scored")
+        # Few distinct training rows mean few attribute combinations to score.
+        few = prepared.distinct_rows <= MAX_LOCAL_COMBINATIONS
+        scored = materialise(score(table, model, task, by_combination=few), "scored")
     with timer.phase("evaluate"):
         judged = holdout_split(scored, task.keys, holdout)[1] if holdout else scored
         confusion = materialise(confusion_matrix(judged), "confusion")

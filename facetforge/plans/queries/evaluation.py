@@ -63,14 +63,18 @@ def auc_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return area_under_roc(scored).withColumn("auc", F.round("auc", 6))
 
 
-def gbt_rule_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The label follows a rule over the attributes, so the trees must find it:
-    every row of the whole table is predicted as labelled."""
+def rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose target follows from their attributes."""
     rule = F.when(
         (F.col("p_type") == "ECONOMY") | (F.col("l_linestatus") == "F"), F.lit("yes")
     ).otherwise(F.lit("no"))
-    lines = line_attributes(spark, sf_dir, rule.alias("rule"))
-    return training_confusion(lines, RULE_TASK, BoostSettings(rounds=3, max_depth=3))
+    return line_attributes(spark, sf_dir, rule.alias("rule"))
+
+
+def gbt_rule_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trees must find the rule: every row is predicted as labelled."""
+    settings = BoostSettings(rounds=3, max_depth=3)
+    return training_confusion(rule_lines(spark, sf_dir), RULE_TASK, settings)
 
 
 def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:

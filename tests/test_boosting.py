@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from facetforge.config import BoostSettings, ClassificationTask
+from facetforge.operators import boosting
 from facetforge.operators.boosting import (
     distinct_rows,
     load_model,
@@ -41,6 +42,22 @@ def test_separable_data_is_learned(spark, separable):
     assert summary(confusion_matrix(scored)).first()["accuracy"] == 1.0
 
 
+def test_scoring_by_combination_changes_nothing(spark, separable, monkeypatch):
+    model = train_classifier(separable, TASK, SETTINGS)
+
+    def plain(scored):
+        return sorted((r["k"], r["label"], r["prediction"], tuple(r["probability"]), tuple(r["features"].toArray()))
+                      for r in scored.collect())
+
+    # Keys and attributes may share columns; ring is NULL in many rows.
+    wanted = plain(score(separable, model, TASK))
+    joined = score(separable, model, TASK, by_combination=True)
+    assert plain(joined) == wanted and len(wanted) == 400
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().toString()
+    monkeypatch.setattr(boosting, "MAX_LOCAL_COMBINATIONS", 3)
+    assert plain(score(separable, model, TASK, by_combination=True)) == wanted
+
+
 def test_saved_model_scores_new_rows(spark, separable):
     model = train_classifier(separable, TASK, SETTINGS)
     path = fresh_path(spark, "model")
