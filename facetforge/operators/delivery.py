@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any, Protocol
 
@@ -55,6 +55,19 @@ def tag_counts(documents: DataFrame) -> DataFrame:
     return documents.groupBy("dataset_type").agg(F.count("*").alias("documents"))
 
 
+def tag_counts_or_zero(documents: DataFrame, tags: Sequence[str]) -> DataFrame:
+    """The number of documents of each given tag, 0 for a tag that is absent."""
+    tag = F.col("dataset_type")
+    counts = documents.filter(tag.isin(*tags)).agg(
+        *[F.count_if(tag == t).alias(f"tag_{i}") for i, t in enumerate(tags)]
+    )
+    lines = [
+        F.struct(F.lit(t).alias("dataset_type"), F.col(f"tag_{i}").alias("documents"))
+        for i, t in enumerate(tags)
+    ]
+    return counts.select(F.inline(F.array(*lines)))
+
+
 def loaded_tags(documents: DataFrame, threshold: int = PRESENT_THRESHOLD) -> DataFrame:
     """(dataset_type, documents, loaded) for every tag in the store."""
     return tag_counts(documents).withColumn("loaded", F.col("documents") > threshold)
@@ -266,15 +279,22 @@ def deliver(
     open_client: Callable[[], StoreClient],
     outcome_path: str,
     policy: DeliveryPolicy = DeliveryPolicy(),
+    senders: int | None = None,
 ) -> DataFrame:
     """Send documents to an external store; returns one row per batch.
 
+    ``senders`` spreads the documents evenly over that many tasks (by id, so a
+    repeated task sends the same ones). Without it each task sends the partition
+    it has.
+
     The outcome table is written as the documents are sent, so Spark's output
     commit keeps exactly one outcome per batch even when tasks are repeated.
     Repeated tasks upsert the same ids again, which changes nothing.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    if senders is not None:
+        documents = documents.repartition(senders, "id")
     schema = _outcome_schema(documents)
     arrow_schema = to_arrow_schema(schema)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facetforge.functions.columns import column
@@ -35,3 +37,9 @@ def profile(df: DataFrame, distinct: str = "exact") -> DataFrame:
         ]
     )
     return df.agg(*measures).select(F.inline(lines))
+
+
+def first_rows(df: DataFrame, n: int, order_by: Sequence[Column] = ()) -> DataFrame:
+    """A few rows to look at: any ``n``, or the first in an order (each task then
+    keeps only its own first ``n``; the table is not sorted)."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)

@@ -19,6 +19,7 @@ from facetforge.operators.delivery import (
     open_store,
     replay,
     split_documents,
+    tag_counts_or_zero,
     write_dead_letters,
     write_fallback,
 )
@@ -95,6 +96,11 @@ def load_once_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tag_count_or_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagged = table(spark, sf_dir, "events").select(F.col("event_type").alias("dataset_type"))
+    return tag_counts_or_zero(tagged, ["click", "purchase", "never loaded"])
+
+
 def resume_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         document_id("orders", F.col("o_orderkey")).alias("id"),
@@ -121,6 +127,27 @@ def load_and_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_diverted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load of a loaded tag goes to the fallback and not to the store."""
+    base = fresh_path(spark, "divert")
+    documents = customer_documents(spark, sf_dir)
+    for run in ("first", "second"):
+        load_documents(
+            documents, f"{base}/store", f"{base}/fallback", f"{base}/dead", "customers", run
+        )
+    places = {
+        "store": open_store(spark, f"{base}/store"),
+        "fallback": replay(spark, f"{base}/fallback"),
+    }
+    counts = [
+        found.groupBy("predicted_class").agg(
+            F.lit(place).alias("place"), F.count("*").alias("documents")
+        )
+        for place, found in places.items()
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 def dead_letter_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, bad = split_documents(customer_documents(spark, sf_dir), in_debt())
     both = good.withColumn("error", F.lit(None).cast("string")).unionByName(bad)
@@ -209,7 +236,9 @@ QUERIES = {
     "copy_ids": copy_ids,
     "load_once_guard": load_once_guard,
     "resume_load": resume_load,
+    "tag_count_or_zero": tag_count_or_zero,
     "load_and_reload": load_and_reload,
+    "load_diverted": load_diverted,
     "dead_letter_split": dead_letter_split,
     "dead_letter_json": dead_letter_json,
     "dead_letter_replay": dead_letter_replay,
@@ -256,6 +285,16 @@ SQL = {
                count(DISTINCT c_custkey) AS ids
         FROM customer WHERE c_acctbal >= 0
     """,
+    "tag_count_or_zero": """
+        SELECT t.tag AS dataset_type, count(event_type) AS documents
+        FROM (VALUES ('click'), ('purchase'), ('never loaded')) AS t(tag)
+        LEFT JOIN events ON event_type = t.tag GROUP BY t.tag
+    """,
+    "load_diverted": """
+        SELECT place, CASE WHEN c_acctbal < 0 THEN 'in debt' ELSE 'in credit' END AS predicted_class,
+               count(*) AS documents
+        FROM customer, (VALUES ('store'), ('fallback')) AS p(place) GROUP BY 1, 2
+    """,
     "dead_letter_split": """
         SELECT CASE WHEN c_acctbal < 0 THEN 'in debt' ELSE 'in credit' END AS predicted_class,
                CASE WHEN c_acctbal < 0 THEN 'negative balance' END AS error, count(*) AS documents

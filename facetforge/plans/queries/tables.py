@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from facetforge.config import ClassificationTask
 from facetforge.operators.encoding import feature_columns
-from facetforge.operators.profile import profile
+from facetforge.operators.profile import first_rows, profile
 from facetforge.plans.queries.common import table
 from facetforge.sources import attach_header, publish, read_headed_csv
 from facetforge.storage import fresh_path
@@ -54,6 +54,11 @@ def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(part.select(*feature_columns(part, task)))
 
 
+def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    return first_rows(orders, 10, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
+
+
 QUERIES = {
     "csv_scan_infer": csv_scan_infer,
     "csv_scan_schema": csv_scan_schema,
@@ -61,6 +66,7 @@ QUERIES = {
     "publish_overwrite": publish_overwrite,
     "profile_table": profile_table,
     "feature_profile": feature_profile,
+    "first_orders": first_orders,
 }
 
 
@@ -75,6 +81,10 @@ def _profile_sql(name: str, columns: list[tuple[str, str]]) -> str:
 
 
 SQL = {
+    "first_orders": """
+        SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders
+        ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
+    """,
     "csv_scan_infer": """
         SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name,
                CAST(c_nationkey AS INTEGER) AS c_nationkey, c_acctbal, c_mktsegment

@@ -191,16 +191,17 @@ def test_client_errors_count_as_refusals():
 
 
 def test_deliver_reports_every_document(spark, tmp_path):
-    docs = documents(spark, 120).repartition(3)
+    docs = documents(spark, 120)
     folder = str(tmp_path)
 
     def client():
         return FolderStore(folder, lambda d: "full" if d["prediction"] > 0.5 else None)
 
-    outcomes = deliver(docs, client, fresh_path(spark, "outcome"), QUICK)
+    outcomes = deliver(docs, client, fresh_path(spark, "outcome"), QUICK, senders=3)
     assert tuple(delivery_totals(outcomes).first())[1:] == (60, 60)
     assert outcomes.filter(F.col("succeeded") + F.col("failed") > 25).count() == 0
     assert outcomes.filter(F.col("attempts") == 3).count() > 0
+    assert outcomes.select("task").distinct().count() == 3
     stored = {json.loads(p.read_text())["id"] for p in Path(folder).glob("doc-*")}
     failed = failed_documents(outcomes)
     refused = {r["id"] for r in failed.collect()}

@@ -2,7 +2,7 @@ import pytest
 
 from facetforge.config import ClassificationTask
 from facetforge.operators.encoding import feature_columns
-from facetforge.operators.profile import profile
+from facetforge.operators.profile import first_rows, profile
 from facetforge.sources import attach_header, publish, read_headed_csv
 
 
@@ -53,3 +53,9 @@ def test_feature_columns(spark):
     df = spark.createDataFrame([(1, "p", "x", "y")], "k int, class string, a string, b string")
     assert feature_columns(df, ClassificationTask("class", "p", keys=("k",))) == ["a", "b"]
     assert feature_columns(df, ClassificationTask("class", "p", features=("b",))) == ["b"]
+
+
+def test_first_rows(spark):
+    df = spark.range(100).repartition(5)
+    assert first_rows(df, 3).count() == 3
+    assert [r[0] for r in first_rows(df, 3, [df.id.desc()]).collect()] == [99, 98, 97]
