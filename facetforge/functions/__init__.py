@@ -6,10 +6,17 @@ from facetforge.functions.columns import (
     document_id,
     epoch_ms_now,
     failed_document_json,
+    key_fraction,
     percent,
     truncated_ratio,
 )
-from facetforge.functions.loglines import accuracy_value, elapsed_ms, is_metric_line, phase_name
+from facetforge.functions.loglines import (
+    accuracy_value,
+    elapsed_ms,
+    is_metric_line,
+    log_line,
+    phase_name,
+)
 
 __all__ = [
     "accuracy_value",
@@ -22,6 +29,8 @@ __all__ = [
     "epoch_ms_now",
     "failed_document_json",
     "is_metric_line",
+    "key_fraction",
+    "log_line",
     "percent",
     "phase_name",
     "truncated_ratio",

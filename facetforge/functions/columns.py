@@ -40,6 +40,13 @@ def document_id(dataset_type: str, *keys: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(dataset_type), *[_key_part(k) for k in keys]))
 
 
+def key_fraction(seed: int, *keys: Column) -> Column:
+    """A reproducible draw in [0, 1) per row, from a hash of its keys. Any engine
+    with MD5 gets the same: the first 13 hexadecimal digits as a fraction."""
+    digits = F.substring(document_id(str(seed), *keys), 1, 13)
+    return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(1 << 52))
+
+
 def epoch_ms_now() -> Column:
     return F.unix_millis(F.current_timestamp())
 

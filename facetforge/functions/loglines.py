@@ -44,3 +44,11 @@ def phase_name(line: Column, phases: dict[str, str] = PHASES) -> Column:
         for phrase, short in phases.items()
     ]
     return F.coalesce(*names)
+
+
+def log_line(metric: str, value: float, phases: dict[str, str] = PHASES) -> str:
+    """A metric as the log line that the functions above read."""
+    if metric == "accuracy":
+        return f"Model Accuracy: {value}"
+    phrase = {short: phrase for phrase, short in phases.items()}.get(metric, metric)
+    return f"{phrase.capitalize()} completed in {int(value)} ms"

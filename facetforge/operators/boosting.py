@@ -31,8 +31,9 @@ from facetforge.operators.encoding import (
 from facetforge.storage import enable_checkpoints, materialise
 
 MODEL_COLUMNS = ("features", "rawPrediction", "probability", "prediction")
-# Most attribute combinations whose scores may be broadcast (below 1 kB each).
+# Most attribute combinations, and bytes of their scores, that may be broadcast.
 MAX_LOCAL_COMBINATIONS = 100_000
+MAX_LOCAL_SCORE_BYTES = 128 * 1024 * 1024
 # Boosting runs thousands of short stages, so small inputs must not be spread
 # thin; and a training row is held as one 4-byte bin per vector position, so wide
 # rows need more tasks.
@@ -165,10 +166,17 @@ def score(
 
 
 def _few_combinations(rows: DataFrame, attributes: Sequence[str]) -> DataFrame | None:
-    """The distinct attribute combinations, or None if there are too many."""
+    """The distinct attribute combinations, or None if they or their scores are
+    too much for a broadcast."""
     distinct = rows.select(*[column(a) for a in attributes]).distinct()
     stored = materialise(distinct, "combinations")
-    return stored if stored.count() <= MAX_LOCAL_COMBINATIONS else None
+    text = sum((F.coalesce(F.octet_length(column(a)), F.lit(0)) for a in attributes), F.lit(0))
+    found = stored.agg(F.count("*").alias("rows"), F.sum(text).alias("bytes")).first()
+    # Per attribute a string header and one vector entry, per row two short
+    # vectors and the prediction.
+    size = (found["bytes"] or 0) + found["rows"] * (32 * len(attributes) + 256)
+    fits = found["rows"] <= MAX_LOCAL_COMBINATIONS and size <= MAX_LOCAL_SCORE_BYTES
+    return stored if fits else None
 
 
 def _join_scores(rows: DataFrame, scores: DataFrame, attributes: Sequence[str]) -> DataFrame:

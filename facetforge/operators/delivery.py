@@ -139,12 +139,6 @@ class LoadResult:
     path: str
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows while they are written instead of in a second job."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def load_documents(
     documents: DataFrame,
     store_path: str | None,
@@ -164,8 +158,8 @@ def load_documents(
     that are missing are added. On an error the fallback is written and the
     error raised again.
 
-    ``documents`` is read twice (good and bad rows), so it should come from a
-    stored table, not from a long computation.
+    ``documents`` is read a second time if some of them are bad, so it should
+    come from a stored table, not from a long computation.
     """
     if when_present not in ("divert", "resume"):
         raise ValueError("when_present must be divert or resume")
@@ -178,22 +172,31 @@ def load_documents(
     try:
         # A first load has nothing to compare with and needs no shuffle.
         missing = documents if stored.isEmpty() else not_yet_stored(documents, stored)
-        good, bad = split_documents(missing, problem)
-        good, written = _counted(good)
+        error = problem_of(missing) if problem is None else problem
+        is_bad = F.col("error").isNotNull()
+        # Both sides are counted in the pass that writes the good ones; without
+        # bad documents there is no second pass.
+        seen = Observation()
+        marked = missing.withColumn("error", error)
+        counted = marked.observe(
+            seen, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad")
+        )
+        good = counted.filter(~is_bad).drop("error")
         good.write.mode("append").partitionBy("dataset_type").format(format).save(store_path)
-        bad, rejected = _counted(bad)
-        write_dead_letters(bad, dead_letter_path, run_id)
+        written, rejected = seen.get.get("good", 0), seen.get.get("bad", 0)
+        if rejected:
+            write_dead_letters(marked.filter(is_bad), dead_letter_path, run_id)
     except Exception:
         log.exception("load failed; writing the documents to %s", fallback_path)
         write_fallback(documents, fallback_path)
         raise
-    return LoadResult("loaded", written.get.get("rows", 0), rejected.get.get("rows", 0), store_path)
+    return LoadResult("loaded", written, rejected, store_path)
 
 
 def _divert(documents: DataFrame, fallback_path: str) -> LoadResult:
-    documents, written = _counted(documents)
-    write_fallback(documents, fallback_path)
-    return LoadResult("diverted", written.get.get("rows", 0), 0, fallback_path)
+    seen = Observation()
+    write_fallback(documents.observe(seen, F.count(F.lit(1)).alias("rows")), fallback_path)
+    return LoadResult("diverted", seen.get.get("rows", 0), 0, fallback_path)
 
 
 # ------------------------------------------------------------- external stores

@@ -12,7 +12,7 @@ not a category. Two encoders share it:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -25,9 +25,13 @@ from facetforge.functions.columns import binary_label, column
 from facetforge.operators.ordering import number_rows
 from facetforge.storage import materialise
 
-# Largest vocabulary (all attributes together) that may be held on the driver or
-# broadcast. Larger ones take the distributed ways below.
+# Largest vocabulary (all attributes together), in categories and in bytes of
+# text, that may be held on the driver, in one task or in a broadcast. Larger ones
+# take the distributed ways below.
 MAX_LOCAL_CATEGORIES = 100_000
+MAX_LOCAL_BYTES = 32 * 1024 * 1024
+# Longest category that counts as short in the broadcast part of a large vocabulary.
+SHORT_CATEGORY_BYTES = 256
 
 
 def feature_columns(df: DataFrame, task: ClassificationTask) -> list[str]:
@@ -55,6 +59,7 @@ class Vocabulary:
     attributes: tuple[str, ...]
     table: DataFrame  # attribute, category, n, idx
     sizes: dict[str, int]
+    text_bytes: int
     local_limit: int = MAX_LOCAL_CATEGORIES
 
     def offsets(self) -> dict[str, int]:
@@ -70,7 +75,7 @@ class Vocabulary:
         return sum(self.sizes.values())
 
     def is_local(self) -> bool:
-        return self.width <= self.local_limit
+        return self.width <= self.local_limit and self.text_bytes <= MAX_LOCAL_BYTES
 
 
 def category_counts(
@@ -87,14 +92,12 @@ def category_counts(
     return long.filter(F.col("category").isNotNull()).groupBy("attribute", "category").agg(n.alias("n"))
 
 
-def rank_categories(
-    counts: DataFrame, sizes: dict[str, int], local_limit: int = MAX_LOCAL_CATEGORIES
-) -> DataFrame:
-    """Add idx. Small attributes are ranked by a window per attribute; an
-    attribute too large for one task is ranked by a distributed sort."""
+def rank_categories(counts: DataFrame, large: Collection[str] = ()) -> DataFrame:
+    """Add idx. Small attributes are ranked by a window per attribute; those
+    named in ``large`` hold too much for one task and are ranked by a
+    distributed sort."""
     by_rank = [F.col("n").desc(), F.col("category").asc()]
-    large = [a for a, size in sizes.items() if size > local_limit]
-    small = counts.filter(~F.col("attribute").isin(large)) if large else counts
+    small = counts.filter(~F.col("attribute").isin(*large)) if large else counts
     per_attribute = Window.partitionBy("attribute").orderBy(*by_rank)
     ranked = small.withColumn("idx", (F.row_number().over(per_attribute) - 1).cast("bigint"))
     for attribute in large:
@@ -114,19 +117,24 @@ def fit_vocabulary(
     """Count and rank the categories of all attributes in one scan of ``df``."""
     counts = materialise(category_counts(df, attributes, weight), "category-counts")
     # One row per attribute.
-    sized = counts.groupBy("attribute").agg(F.count("*").alias("size")).collect()
-    found = {r["attribute"]: r["size"] for r in sized}
-    sizes = {a: int(found.get(a, 0)) for a in attributes}
-    ranked = rank_categories(counts, sizes, local_limit)
-    return Vocabulary(tuple(attributes), ranked, sizes, local_limit)
+    sized = counts.groupBy("attribute").agg(
+        F.count("*").alias("size"), F.sum(F.octet_length("category")).alias("bytes")
+    )
+    found = {r["attribute"]: (r["size"], r["bytes"]) for r in sized.collect()}
+    sizes = {a: found.get(a, (0, 0))[0] for a in attributes}
+    text = {a: found.get(a, (0, 0))[1] for a in attributes}
+    large = [a for a in attributes if sizes[a] > local_limit or text[a] > MAX_LOCAL_BYTES]
+    ranked = rank_categories(counts, large)
+    return Vocabulary(tuple(attributes), ranked, sizes, sum(text.values()), local_limit)
 
 
 def _label_lists(vocabulary: Vocabulary) -> dict[str, list[str]]:
     if not vocabulary.is_local():
         raise ValueError(
-            f"{vocabulary.width} categories are too many for a feature vector built from local "
-            f"label lists (at most {vocabulary.local_limit}); use one_hot_positions, or leave out "
-            f"the largest attributes: {vocabulary.sizes}"
+            f"{vocabulary.width} categories with {vocabulary.text_bytes} bytes are too many for a "
+            f"feature vector built from local label lists (at most {vocabulary.local_limit} and "
+            f"{MAX_LOCAL_BYTES}); use one_hot_positions, or leave out the largest attributes: "
+            f"{vocabulary.sizes}"
         )
     labels: dict[str, list[str]] = {a: [] for a in vocabulary.attributes}
     for row in sorted(vocabulary.table.collect(), key=lambda r: (r["attribute"], r["idx"])):
@@ -172,10 +180,10 @@ def encode(
 def one_hot_positions(df: DataFrame, keys: Sequence[str], vocabulary: Vocabulary) -> DataFrame:
     """The ones of the one-hot matrix: keys, attribute, pos.
 
-    A zero block (unseen or NULL category) has no row. The most frequent
-    categories, up to the local limit, are joined by broadcast, so a category
-    held by a large share of the rows is never shuffled. Only rows with a rarer
-    category of a large attribute take the shuffle join.
+    A zero block (unseen or NULL category) has no row. In a large vocabulary the
+    most frequent categories, up to the local limit, are joined by broadcast, so
+    rows with a common category are never shuffled. Only rows with a rare or
+    very long category take the shuffle join.
     """
     attributes = list(vocabulary.attributes)
     key_names = [f"_key_{i}" for i in range(len(keys))]
@@ -196,12 +204,10 @@ def one_hot_positions(df: DataFrame, keys: Sequence[str], vocabulary: Vocabulary
         found = long.join(F.broadcast(ranks.drop("idx")), ["attribute", "category"])
     else:
         share = max(1, vocabulary.local_limit // len(attributes))
-        frequent = F.broadcast(ranks.filter(F.col("idx") < share).drop("idx"))
-        rare = ranks.filter(F.col("idx") >= share).drop("idx")
-        large = [a for a, size in vocabulary.sizes.items() if size > share]
-        rest = long.filter(F.col("attribute").isin(large)).join(
-            frequent, ["attribute", "category"], "left_anti"
-        )
+        handy = (F.col("idx") < share) & (F.octet_length("category") <= SHORT_CATEGORY_BYTES)
+        frequent = F.broadcast(ranks.filter(handy).drop("idx"))
+        rare = ranks.filter(~handy).drop("idx")
+        rest = long.join(frequent, ["attribute", "category"], "left_anti")
         found = long.join(frequent, ["attribute", "category"]).unionByName(
             rest.join(rare, ["attribute", "category"])
         )

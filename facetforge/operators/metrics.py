@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from facetforge.config import BoostSettings, ClassificationTask
-from facetforge.functions.columns import column
+from facetforge.functions.columns import column, key_fraction
 from facetforge.operators.boosting import classifier, distinct_rows, sized_for_training
 from facetforge.operators.encoding import encode, encoder, feature_columns, fit_vocabulary, with_label
 from facetforge.operators.ordering import running_totals
@@ -123,10 +123,7 @@ def holdout_split(
 
     The same row lands on the same side in every run, and no shuffle is needed.
     """
-    # xxhash64 covers all 64 bits; taking 53 of them as a fraction is exact.
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[column(k) for k in keys]), 11) / F.lit(
-        float(1 << 53)
-    )
+    draw = key_fraction(seed, *[column(k) for k in keys])
     return df.filter(draw >= holdout), df.filter(draw < holdout)
 
 
@@ -147,7 +144,7 @@ def cross_validate(
     if not task.keys:
         raise ValueError("cross validation needs key columns to assign folds")
     attributes = feature_columns(df, task)
-    fold = F.pmod(F.xxhash64(F.lit(settings.seed), *[column(k) for k in task.keys]), F.lit(folds))
+    fold = F.floor(key_fraction(settings.seed, *[column(k) for k in task.keys]) * F.lit(folds))
     labelled = with_label(df, task).withColumn("fold", fold.cast("int"))
     compact = materialise(distinct_rows(labelled, attributes, ["fold"]), "fold-rows")
     vocabulary = fit_vocabulary(compact, attributes, weight="weight")

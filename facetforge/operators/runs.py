@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,6 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetforge.functions.columns import truncated_ratio
+from facetforge.functions.loglines import log_line
+
+log = logging.getLogger(__name__)
+
+# Metrics that are qualities of the model, not times.
+QUALITIES = ("accuracy", "auc")
 
 
 class PhaseTimer:
@@ -34,6 +41,7 @@ class PhaseTimer:
 
     def record(self, metric: str, value: float) -> None:
         self.rows.append((self.run, metric, float(value)))
+        log.info(log_line(metric, value) if metric != "auc" else f"Model AUC: {value}")
 
     def finish(self) -> None:
         self.record("total", int((time.monotonic() - self._started) * 1000))
@@ -65,7 +73,7 @@ def _side_by_side(metrics: DataFrame, first: str, second: str) -> DataFrame:
 def compare_times(metrics: DataFrame, first: str, second: str) -> DataFrame:
     """(phase, first_ms, second_ms, speedup): how many times faster the second
     run was, cut after two decimals; NULL if a time is missing or zero."""
-    pairs = _side_by_side(metrics.filter(F.col("metric") != "accuracy"), first, second)
+    pairs = _side_by_side(metrics.filter(~F.col("metric").isin(*QUALITIES)), first, second)
     first_ms = F.col("first_value").cast("bigint")
     second_ms = F.col("second_value").cast("bigint")
     return pairs.select(
@@ -77,8 +85,8 @@ def compare_times(metrics: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def compare_accuracy(metrics: DataFrame, first: str, second: str) -> DataFrame:
-    """(metric, first_value, second_value, difference) of the accuracies."""
-    pairs = _side_by_side(metrics.filter(F.col("metric") == "accuracy"), first, second)
+    """(metric, first_value, second_value, difference) of accuracy and AUC."""
+    pairs = _side_by_side(metrics.filter(F.col("metric").isin(*QUALITIES)), first, second)
     return pairs.withColumn("difference", F.abs(F.col("first_value") - F.col("second_value")))
 
 

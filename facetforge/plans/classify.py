@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from facetforge.config import BoostSettings, ClassificationTask
 from facetforge.operators.boosting import (
@@ -17,8 +18,14 @@ from facetforge.operators.boosting import (
 )
 from facetforge.operators.delivery import LoadResult, load_documents
 from facetforge.operators.documents import vector_documents
-from facetforge.operators.metrics import confusion_matrix, holdout_split, summary
-from facetforge.operators.runs import PhaseTimer
+from facetforge.operators.metrics import (
+    area_under_roc,
+    confusion_matrix,
+    holdout_split,
+    positive_probability,
+    summary,
+)
+from facetforge.operators.runs import QUALITIES, PhaseTimer
 from facetforge.storage import materialise
 
 
@@ -71,8 +78,11 @@ def run_classification(
     with timer.phase("evaluate"):
         judged = holdout_split(scored, task.keys, holdout)[1] if holdout else scored
         confusion = materialise(confusion_matrix(judged), "confusion")
-        metrics = summary(confusion)
-        timer.record("accuracy", metrics.first()["accuracy"] or float("nan"))
+        auc = area_under_roc(positive_probability(judged)).first()["auc"]
+        metrics = summary(confusion).withColumn("auc", F.lit(auc).cast("double"))
+        for quality in QUALITIES:
+            value = metrics.first()[quality]
+            timer.record(quality, float("nan") if value is None else value)
     load = None
     if target is not None:
         with timer.phase("sink"):

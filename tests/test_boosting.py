@@ -56,6 +56,9 @@ def test_scoring_by_combination_changes_nothing(spark, separable, monkeypatch):
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().toString()
     monkeypatch.setattr(boosting, "MAX_LOCAL_COMBINATIONS", 3)
     assert plain(score(separable, model, TASK, by_combination=True)) == wanted
+    monkeypatch.undo()
+    monkeypatch.setattr(boosting, "MAX_LOCAL_SCORE_BYTES", 1000)
+    assert plain(score(separable, model, TASK, by_combination=True)) == wanted
 
 
 def test_saved_model_scores_new_rows(spark, separable):
@@ -113,6 +116,7 @@ def test_whole_job(spark, separable):
     assert second.load.status == "diverted" and second.load.written == 400
     assert spark.read.parquet(f"{base}/store").count() == 400
     assert 60 < second.metrics.first()["total"] < 180
+    assert second.metrics.first()["auc"] == 1.0
     assert [m for _, m, _ in second.timer.rows] == [
-        "prepare", "train", "predict", "accuracy", "evaluate", "sink", "total",
+        "prepare", "train", "predict", "accuracy", "auc", "evaluate", "sink", "total",
     ]

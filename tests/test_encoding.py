@@ -7,6 +7,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from facetforge.operators import encoding
 from facetforge.operators.encoding import encode, encoder, fit_vocabulary, one_hot_positions
 
 
@@ -97,6 +98,17 @@ def test_positions_equal_brute_force_with_a_hot_category(spark, limit):
     assert {r["attribute"] for r in found.collect()} == {"b"}
 
 
+def test_long_categories_are_not_local(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "MAX_LOCAL_BYTES", 100)
+    monkeypatch.setattr(encoding, "SHORT_CATEGORY_BYTES", 10)
+    rows = [(i, "long" * 40 if i % 3 else f"s{i % 2}") for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, a string")
+    vocabulary = fit_vocabulary(df, ["a"])
+    assert not vocabulary.is_local()
+    got = {r["k"]: r["pos"] for r in one_hot_positions(df, ["k"], vocabulary).collect()}
+    assert got == {i: 0 if i % 3 else 1 + i % 2 for i in range(60)}
+
+
 def test_key_may_be_an_attribute(spark):
     df = spark.createDataFrame([("x",), ("y",)], "a string")
     got = one_hot_positions(df, ["a"], fit_vocabulary(df, ["a"])).collect()

@@ -73,3 +73,13 @@ def test_timer_table(spark, tmp_path):
     times = compare_times(metrics, "a", "b")
     assert {r["phase"] for r in times.collect()} == {"train", "predict", "total"}
     write_report(times, str(tmp_path / "report"), "a", "b")
+
+
+def test_own_log_lines_can_be_mined(spark, tmp_path, caplog):
+    caplog.set_level("INFO", logger="facetforge")
+    timer = PhaseTimer("own")
+    for metric, value in (("prepare", 12), ("train", 30), ("accuracy", 0.75), ("total", 99)):
+        timer.record(metric, value)
+    (tmp_path / "own.log").write_text("\n".join(caplog.messages))
+    metrics = run_metrics(read_run_log(spark, str(tmp_path / "own.log")))
+    assert sorted(map(tuple, metrics.collect())) == sorted(timer.rows)
