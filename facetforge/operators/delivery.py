@@ -51,6 +51,12 @@ def open_store(spark: SparkSession, path: str, format: str = "parquet") -> DataF
         return spark.createDataFrame([], DOCUMENT_SCHEMA)
 
 
+def create_store(spark: SparkSession, path: str, format: str = "parquet") -> None:
+    """Make sure the document table exists by adding no rows to it."""
+    nothing = spark.createDataFrame([], DOCUMENT_SCHEMA)
+    nothing.write.mode("append").partitionBy("dataset_type").format(format).save(path)
+
+
 def tag_counts(documents: DataFrame) -> DataFrame:
     return documents.groupBy("dataset_type").agg(F.count("*").alias("documents"))
 
@@ -153,6 +159,8 @@ def load_documents(
 ) -> LoadResult:
     """Load documents of one tag into a document table.
 
+    Documents with a problem (by default: missing fields), and those of another
+    tag, become dead letters.
     Without a store, or when the tag is loaded already and ``when_present`` is
     "divert", the documents go to ``fallback_path``. With "resume" only those
     that are missing are added. On an error the fallback is written and the
@@ -165,14 +173,19 @@ def load_documents(
         raise ValueError("when_present must be divert or resume")
     if store_path is None:
         return _divert(documents, fallback_path)
-    stored = open_store(documents.sparkSession, store_path, format)
+    create_store(documents.sparkSession, store_path, format)
+    stored = read_documents(documents.sparkSession, store_path, format)
     stored = stored.filter(F.col("dataset_type") == dataset_type)
     if when_present == "divert" and is_loaded(stored, dataset_type, threshold):
         return _divert(documents, fallback_path)
     try:
         # A first load has nothing to compare with and needs no shuffle.
         missing = documents if stored.isEmpty() else not_yet_stored(documents, stored)
-        error = problem_of(missing) if problem is None else problem
+        other_tag = ~F.col("dataset_type").eqNullSafe(dataset_type)
+        error = F.coalesce(
+            F.when(other_tag, F.lit("other dataset type")),
+            problem_of(missing) if problem is None else problem,
+        )
         is_bad = F.col("error").isNotNull()
         # Both sides are counted in the pass that writes the good ones; without
         # bad documents there is no second pass.
@@ -323,11 +336,14 @@ def deliver(
     return documents.sparkSession.read.schema(schema).parquet(outcome_path)
 
 
-def delivery_totals(outcomes: DataFrame) -> DataFrame:
+def delivery_totals(outcomes: DataFrame, *extra: Column) -> DataFrame:
+    """One row: batches, documents stored, documents refused, and any further
+    aggregates over the batches."""
     return outcomes.agg(
         F.count("*").alias("batches"),
         F.coalesce(F.sum("succeeded"), F.lit(0)).alias("succeeded"),
         F.coalesce(F.sum("failed"), F.lit(0)).alias("failed"),
+        *extra,
     )
 
 

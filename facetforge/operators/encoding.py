@@ -34,11 +34,22 @@ MAX_LOCAL_BYTES = 32 * 1024 * 1024
 SHORT_CATEGORY_BYTES = 256
 
 
+# Column names that the job itself adds.
+RESERVED_NAMES = frozenset(
+    {"label", "features", "weight", "fold", "rawPrediction", "probability", "prediction"}
+)
+
+
 def feature_columns(df: DataFrame, task: ClassificationTask) -> list[str]:
     """The attributes to encode: those asked for, or all but target and keys."""
     if task.features is not None:
-        return list(task.features)
-    return [c for c in df.columns if c != task.target and c not in task.keys]
+        attributes = list(task.features)
+    else:
+        attributes = [c for c in df.columns if c != task.target and c not in task.keys]
+    taken = RESERVED_NAMES.intersection([*attributes, *task.keys])
+    if taken:
+        raise ValueError(f"rename columns whose names the job uses itself: {sorted(taken)}")
+    return attributes
 
 
 def with_label(df: DataFrame, task: ClassificationTask, name: str = "label") -> DataFrame:

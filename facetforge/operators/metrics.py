@@ -123,6 +123,8 @@ def holdout_split(
 
     The same row lands on the same side in every run, and no shuffle is needed.
     """
+    if not keys:
+        raise ValueError("a hold-out split needs key columns")
     draw = key_fraction(seed, *[column(k) for k in keys])
     return df.filter(draw >= holdout), df.filter(draw < holdout)
 

@@ -188,10 +188,8 @@ def delivery_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = deliver(
         customer_documents(spark, sf_dir), RefusesDebtors, fresh_path(spark, "sent"), NO_WAITING
     )
-    largest = outcomes.agg(F.max(F.col("succeeded") + F.col("failed")).alias("largest_batch"))
-    totals = delivery_totals(outcomes).select("succeeded", "failed")
-    # Both sides are single rows.
-    return totals.join(largest.select((F.col("largest_batch") <= 25).alias("within_limit")))
+    batch = F.col("succeeded") + F.col("failed")
+    return delivery_totals(outcomes, (F.max(batch) <= 25).alias("within_limit")).drop("batches")
 
 
 def delivery_failures(spark: SparkSession, sf_dir: str) -> DataFrame:

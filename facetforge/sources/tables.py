@@ -59,4 +59,6 @@ def publish(
 
 def read_documents(spark: SparkSession, path: str | Sequence[str], format: str = "json") -> DataFrame:
     """Stored, diverted or dead-lettered documents, ready to be loaded again."""
-    return spark.read.schema(DOCUMENT_SCHEMA).format(format).load(path)
+    documents = spark.read.schema(DOCUMENT_SCHEMA).format(format).load(path)
+    # Leaves out folder columns such as the run of a dead letter.
+    return documents.select(*DOCUMENT_SCHEMA.names)

@@ -91,6 +91,13 @@ def test_weighted_rows_train_like_their_copies(spark, separable):
         assert abs(wanted[r["k"]] - r["probability"].toArray()).max() < 1e-9
 
 
+def test_target_may_be_called_label(spark, separable):
+    renamed = separable.withColumnRenamed("class", "label")
+    task = ClassificationTask("label", "p", keys=("k",))
+    scored = score(renamed, train_classifier(renamed, task, SETTINGS), task)
+    assert summary(confusion_matrix(scored)).first()["accuracy"] == 1.0
+
+
 def test_null_target_is_scored_but_not_trained_on(spark, separable):
     unlabelled = separable.withColumn("class", F.when(F.col("k") >= 100, F.col("class")))
     training = prepare_training(unlabelled, TASK)

@@ -134,6 +134,18 @@ def test_bad_rows_are_dead_lettered_and_can_be_replayed(spark):
     assert stored.filter(F.size("features") == 3).count() == 50
 
 
+def test_documents_of_another_tag_are_dead_lettered(spark):
+    base = fresh_path(spark, "tags")
+    other = ClassificationTask("class", "p", keys=("k",), dataset_type="others")
+    mixed = documents(spark, 20).unionByName(documents(spark, 5, other))
+    for written in (20, 0):
+        result = load(mixed, base, when_present="resume")
+        assert (result.written, result.dead_lettered) == (written, 5)
+    back = replay(spark, f"{base}/dead")
+    assert back.columns == documents(spark, 1).columns
+    assert {r[0] for r in back.select("dataset_type").distinct().collect()} == {"others"}
+
+
 def test_split_is_complete(spark):
     docs = documents(spark, 10).withColumn("features", F.when(F.col("prediction") == 1, F.col("features")))
     good, bad = split_documents(docs)

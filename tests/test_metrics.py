@@ -70,6 +70,8 @@ def test_holdout_is_a_stable_partition(spark):
             first = ids
         assert ids == first and training.count() + len(ids) == 4000
     assert 850 < len(first) < 1150
+    with pytest.raises(ValueError, match="key"):
+        holdout_split(df, [], 0.25)
 
 
 def test_cross_validation_finds_the_depth_that_separates(spark):

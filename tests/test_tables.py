@@ -55,6 +55,12 @@ def test_feature_columns(spark):
     assert feature_columns(df, ClassificationTask("class", "p", features=("b",))) == ["b"]
 
 
+def test_names_of_the_job_are_refused(spark):
+    df = spark.createDataFrame([("p", "x")], "class string, weight string")
+    with pytest.raises(ValueError, match="weight"):
+        feature_columns(df, ClassificationTask("class", "p"))
+
+
 def test_first_rows(spark):
     df = spark.range(100).repartition(5)
     assert first_rows(df, 3).count() == 3
