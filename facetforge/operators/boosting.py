@@ -79,7 +79,7 @@ def sized_for_training(df: DataFrame, rows: int, width: int) -> DataFrame:
     """Bring the training rows to a partition count that fits their number and
     size: enough to keep the cluster busy, and never too large to hold."""
     by_work = min(
-        -(-rows // ROWS_PER_TRAINING_TASK), 4 * df.sparkSession.sparkContext.defaultParallelism
+        -(-rows // ROWS_PER_TRAINING_TASK), 2 * df.sparkSession.sparkContext.defaultParallelism
     )
     by_size = -(-rows * 4 * width // BYTES_PER_TRAINING_TASK)
     wanted = max(1, by_work, by_size)
