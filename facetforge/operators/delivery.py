@@ -30,6 +30,7 @@ from facetforge.functions.columns import column, percent
 from facetforge.operators.documents import feature_array
 from facetforge.operators.ordering import running_totals
 from facetforge.sources.tables import DOCUMENT_SCHEMA, read_documents
+from facetforge.storage import partition_folder
 
 log = logging.getLogger(__name__)
 
@@ -123,9 +124,8 @@ def split_documents(
 
 def write_dead_letters(bad: DataFrame, path: str, run_id: str) -> None:
     """Add failed documents as JSON lines under their run; nothing is replaced."""
-    bad.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").option(
-        "ignoreNullFields", False
-    ).json(path)
+    folder = partition_folder(path, "run_id", run_id)
+    bad.write.mode("append").option("ignoreNullFields", False).json(folder)
 
 
 def write_fallback(scored: DataFrame, path: str) -> None:
@@ -194,8 +194,10 @@ def load_documents(
         counted = marked.observe(
             seen, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad")
         )
-        good = counted.filter(~is_bad).drop("error")
-        good.write.mode("append").partitionBy("dataset_type").format(format).save(store_path)
+        # Good documents all have the one tag, so they go straight to its folder.
+        good = counted.filter(~is_bad).drop("error", "dataset_type")
+        folder = partition_folder(store_path, "dataset_type", dataset_type)
+        good.write.mode("append").format(format).save(folder)
         written, rejected = seen.get.get("good", 0), seen.get.get("bad", 0)
         if rejected:
             write_dead_letters(marked.filter(is_bad), dead_letter_path, run_id)

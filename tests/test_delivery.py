@@ -146,6 +146,18 @@ def test_documents_of_another_tag_are_dead_lettered(spark):
     assert {r[0] for r in back.select("dataset_type").distinct().collect()} == {"others"}
 
 
+@pytest.mark.parametrize("tag", ["7", "a/b=c:d%", "größe [x] 'y' \"z\"", "tab\there"])
+def test_any_tag_can_be_stored_and_found_again(spark, tag):
+    base = fresh_path(spark, "tag")
+    docs = documents(spark, 15, ClassificationTask("class", "p", keys=("k",), dataset_type=tag))
+
+    def store():
+        return load_documents(docs, f"{base}/store", f"{base}/fb", f"{base}/dead", tag, tag, when_present="resume")
+
+    assert (store().written, store().written) == (15, 0)
+    assert sorted(map(tuple, open_store(spark, f"{base}/store").collect())) == sorted(map(tuple, docs.collect()))
+
+
 def test_split_is_complete(spark):
     docs = documents(spark, 10).withColumn("features", F.when(F.col("prediction") == 1, F.col("features")))
     good, bad = split_documents(docs)
