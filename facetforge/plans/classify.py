@@ -14,7 +14,6 @@ from facetforge.operators.boosting import (
     fit_trees,
     prepare_training,
     score,
-    train_classifier,
 )
 from facetforge.operators.delivery import LoadResult, load_documents
 from facetforge.operators.documents import vector_documents
@@ -103,5 +102,10 @@ def training_confusion(
     table: DataFrame, task: ClassificationTask, settings: BoostSettings
 ) -> DataFrame:
     """Confusion matrix of a model on its own training rows."""
-    model = train_classifier(table, task, settings)
-    return confusion_matrix(score(table, model, task))
+    prepared = prepare_training(table, task)
+    try:
+        model = fit_trees(prepared, settings)
+    finally:
+        prepared.release()
+    few = prepared.distinct_rows <= MAX_LOCAL_COMBINATIONS
+    return confusion_matrix(score(table, model, task, by_combination=few))

@@ -102,7 +102,7 @@ def holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on the training side, judged on the other: the rule must hold."""
     training, judged = holdout_split(rule_lines(spark, sf_dir), RULE_TASK.keys, 0.2)
     model = train_classifier(training, RULE_TASK, TINY)
-    return summary(confusion_matrix(score(judged, model, RULE_TASK)))
+    return summary(confusion_matrix(score(judged, model, RULE_TASK, by_combination=True)))
 
 
 def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
