@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetforge.config import DeliveryPolicy
-from facetforge.functions.columns import column, percent
+from facetforge.functions.columns import percent
 from facetforge.operators.documents import feature_array
 from facetforge.operators.ordering import running_totals
 from facetforge.sources.tables import DOCUMENT_SCHEMA, read_documents
