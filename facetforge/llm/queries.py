@@ -6,7 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetforge.llm import byte_bpe, line_dedup, source_mixing
+from facetforge.llm import (
+    byte_bpe,
+    credential_links,
+    language_id,
+    line_dedup,
+    source_mixing,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,10 +101,43 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    # A row without id is in neither part of the split; it teaches nothing.
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = language_id.fit_languages(docs.filter(part != 1))
+    return language_id.identify_languages(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op10_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = credential_links.find_secrets(docs)
+
+    def listed(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*credential_links.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in credential_links.BASE_KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op3_byte_bpe": op3_byte_bpe,
+    "op7_language_id": op7_language_id,
+    "op10_credential_links": op10_credential_links,
 }
 
 SQL = {
