@@ -11,6 +11,7 @@ from facetforge.llm import (
     credential_links,
     language_id,
     line_dedup,
+    order_minhash,
     source_mixing,
 )
 
@@ -111,6 +112,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return order_minhash.near_duplicates(docs).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op10_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = credential_links.find_secrets(docs)
@@ -137,6 +143,7 @@ QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op3_byte_bpe": op3_byte_bpe,
     "op7_language_id": op7_language_id,
+    "op9_order_minhash": op9_order_minhash,
     "op10_credential_links": op10_credential_links,
 }
 
