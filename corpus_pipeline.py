@@ -4,17 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from facetforge.llm import byte_bpe, line_dedup, source_mixing
+from facetforge.llm import byte_bpe, language_id, line_dedup, order_minhash, source_mixing
 from facetforge.llm.common import quoted
 from facetforge.storage import materialise
 
 
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; texts without a letter go. The
+    languages are learned from the rows that name one."""
+    model = language_id.fit_languages(docs)
+    columns = [quoted(c) for c in docs.columns]
+    told = language_id.identify_languages(docs, model)
+    return told.filter(told["lang_pred"] != language_id.UNDETERMINED).select(*columns)
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that three documents or more repeat stay in the last one only."""
     columns = [quoted(c) for c in docs.columns]
     return line_dedup.dedup_lines(docs).select(*columns)
 
 
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest
+    id."""
+    return order_minhash.keep_one_of_each(docs)
+
+
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents left out, kept or repeated as the weights of their sources ask."""
     return source_mixing.repeat_by_copies(source_mixing.mix_sources(docs), docs.columns)
@@ -26,7 +41,9 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", keep_known_language),
     ("line dedup", drop_repeated_lines),
+    ("MinHash near-dedup", keep_one_of_near_copies),
     ("mixing", mix_to_weights),
     ("byte BPE", tokenise),
 ]
