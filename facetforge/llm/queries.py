@@ -12,6 +12,7 @@ from facetforge.llm import (
     language_id,
     line_dedup,
     order_minhash,
+    page_templates,
     source_mixing,
 )
 
@@ -102,6 +103,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op6_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return page_templates.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     # A row without id is in neither part of the split; it teaches nothing.
@@ -142,6 +148,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op3_byte_bpe": op3_byte_bpe,
+    "op6_page_templates": op6_page_templates,
     "op7_language_id": op7_language_id,
     "op9_order_minhash": op9_order_minhash,
     "op10_credential_links": op10_credential_links,
