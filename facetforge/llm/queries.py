@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from facetforge.llm import (
     byte_bpe,
     credential_links,
+    decision_lists,
     language_id,
     line_dedup,
     order_minhash,
     page_templates,
     source_mixing,
 )
+from facetforge.storage import materialise
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +105,17 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_decision_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    statistics = materialise(decision_lists.text_statistics(docs).drop("text"), "statistics")
+    labelled = decision_lists.label_poor(statistics, labels)
+    rules = decision_lists.learn_decision_list(labelled, F.col("poor"))
+    return decision_lists.judge(statistics, rules).select(
+        "doc_id", *decision_lists.STATISTICS, "base_failed", "kept", "rule"
+    )
+
+
 def op6_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return page_templates.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
@@ -148,6 +161,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_decision_lists": op5_decision_lists,
     "op6_page_templates": op6_page_templates,
     "op7_language_id": op7_language_id,
     "op9_order_minhash": op9_order_minhash,
