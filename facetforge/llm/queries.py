@@ -11,6 +11,7 @@ from facetforge.llm import (
     credential_links,
     decision_lists,
     language_id,
+    licence_scan,
     line_dedup,
     order_minhash,
     page_templates,
@@ -131,6 +132,60 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = F.col("hits")
+    return licence_scan.scan_licences(docs).select(
+        "doc_id",
+        F.size(hits).cast("long").alias("n_hits"),
+        F.array_join(F.array_sort(F.array_distinct(hits["licence"])), ",").alias("licences"),
+        F.coalesce(F.array_max(hits["dice"]), F.lit(0.0)).alias("best_dice"),
+    )
+
+
+OP8_SQL = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    string_split_regex(coalesce(text, ''), '\n[ \t\r]*\n') AS paragraphs FROM documents
+), units AS (
+  SELECT doc_id, unnest(list_concat(
+    string_split(text, chr(10)),
+    [x for x in paragraphs if contains(x, chr(10))],
+    CASE WHEN len(paragraphs) > 1 THEN [text] ELSE [] END)) AS unit
+  FROM texts
+), listed AS (
+  SELECT row_number() OVER () AS unit_id, doc_id,
+    [x for x in string_split(trim(lower(regexp_replace(unit, '[^A-Za-z0-9]+', ' ', 'g'))), ' ')
+      if x <> ''] AS w
+  FROM units
+), bigrams AS (
+  SELECT unit_id, doc_id, list_distinct([w[i] || ' ' || w[i + 1]
+    for i in range(1, len(w))]) AS b FROM listed WHERE len(w) >= 2
+), notices AS (
+  SELECT licence, [x for x in string_split(trim(lower(
+    regexp_replace(notice, '[^A-Za-z0-9]+', ' ', 'g'))), ' ') if x <> ''] AS w
+  FROM (VALUES {templates}) AS t(licence, notice)
+), templates AS (
+  SELECT licence, list_distinct([w[i] || ' ' || w[i + 1]
+    for i in range(1, len(w))]) AS t FROM notices
+), scored AS (
+  SELECT doc_id, unit_id, licence,
+    2.0::DOUBLE * len(list_intersect(b, t)) / (len(b) + len(t)) AS dice
+  FROM bigrams JOIN templates
+    ON len(b) BETWEEN len(t) * 0.66 AND len(t) / 0.66
+), hits AS (
+  SELECT doc_id, unit_id, max(dice) AS dice,
+    min(licence) FILTER (WHERE dice = best) AS licence
+  FROM (SELECT *, max(dice) OVER (PARTITION BY unit_id) AS best FROM scored)
+  WHERE dice >= 0.8 GROUP BY doc_id, unit_id
+)
+SELECT d.doc_id, count(h.doc_id) AS n_hits,
+  coalesce(string_agg(DISTINCT h.licence, ',' ORDER BY h.licence), '') AS licences,
+  coalesce(max(h.dice), 0.0::DOUBLE) AS best_dice
+FROM documents d LEFT JOIN hits h ON h.doc_id = d.doc_id GROUP BY d.doc_id
+""".replace("{templates}", licence_scan.templates_sql())
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return order_minhash.near_duplicates(docs).select("doc_id", "class_id", "class_size", "kept")
@@ -164,6 +219,7 @@ QUERIES = {
     "op5_decision_lists": op5_decision_lists,
     "op6_page_templates": op6_page_templates,
     "op7_language_id": op7_language_id,
+    "op8_licence_scan": op8_licence_scan,
     "op9_order_minhash": op9_order_minhash,
     "op10_credential_links": op10_credential_links,
 }
@@ -171,4 +227,5 @@ QUERIES = {
 SQL = {
     "op1_line_dedup": OP1_SQL,
     "op2_source_mixing": OP2_SQL,
+    "op8_licence_scan": OP8_SQL,
 }
