@@ -10,6 +10,7 @@ from facetforge.llm import (
     byte_bpe,
     credential_links,
     decision_lists,
+    imatch,
     language_id,
     licence_scan,
     line_dedup,
@@ -106,6 +107,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return imatch.compare_with_edited(docs, imatch.band_lexicon(docs))
+
+
 def op5_decision_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -216,6 +222,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_imatch": op4_imatch,
     "op5_decision_lists": op5_decision_lists,
     "op6_page_templates": op6_page_templates,
     "op7_language_id": op7_language_id,
