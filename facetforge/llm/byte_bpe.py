@@ -17,7 +17,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from facetforge.llm.common import as_text, quoted, without
+from facetforge.llm.common import map_in_arrow, without
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 # Texts above this many characters are cut into pieces of about this length.
@@ -103,7 +103,7 @@ def _map_rows(df: DataFrame, source: str, fields: list[T.StructField], row_of) -
         T.ArrayType(T.IntegerType()): pa.list_(pa.int32()),
     }
     kinds = [arrow[f.dataType] for f in fields]
-    return df.mapInArrow(run, schema)
+    return map_in_arrow(df, run, schema)
 
 
 def encode_documents(

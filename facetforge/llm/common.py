@@ -51,6 +51,11 @@ def as_text(column: pa.Array) -> list[str]:
     return ["" if v is None else v for v in column.to_pylist()]
 
 
+def map_in_arrow(df: DataFrame, function, schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow`` for any column names; the function goes by position."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(function, schema)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once for each row.
 

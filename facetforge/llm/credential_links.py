@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from facetforge.llm.common import quoted, without
+from facetforge.llm.common import map_in_arrow, quoted, without
 
 # Characters on either side of a part that belong to its scope.
 SCOPE_CHARS = 200
@@ -192,4 +192,4 @@ def find_secrets(
                 [*batch.columns, pa.array(rows, _ARROW_SPANS)], names=names
             )
 
-    return docs.select(*[quoted(f.name) for f in kept]).mapInArrow(scan, schema)
+    return map_in_arrow(docs.select(*[quoted(f.name) for f in kept]), scan, schema)

@@ -21,7 +21,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from facetforge.llm.common import as_text, plain_text, quoted, without
+from facetforge.llm.common import as_text, map_in_arrow, plain_text, quoted, without
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 UNDETERMINED = "und"
@@ -225,4 +225,4 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text_column: str =
             arrays = [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return docs.select(*[quoted(f.name) for f in kept]).mapInArrow(predict, schema)
+    return map_in_arrow(docs.select(*[quoted(f.name) for f in kept]), predict, schema)

@@ -17,7 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from facetforge.llm.common import SPACE_BYTES, as_bytes, plain_text, quoted, spare_name, without
+from facetforge.llm.common import (
+    SPACE_BYTES,
+    as_bytes,
+    map_in_arrow,
+    plain_text,
+    quoted,
+    spare_name,
+    without,
+)
 from facetforge.storage import materialise
 
 # Bits of a filter for each line, and the bits that a key sets.
@@ -274,4 +282,4 @@ def dedup_lines(
         ]
     )
     names = out.names
-    return marked.mapInArrow(rebuild, out)
+    return map_in_arrow(marked, rebuild, out)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from facetforge.llm.common import quoted, spare_name, without
+from facetforge.llm.common import map_in_arrow, quoted, spare_name, without
 from facetforge.storage import materialise
 
 MIN_PAGES = 3
@@ -328,4 +328,4 @@ def extract_main_text(
                 names=schema.names,
             )
 
-    return marked.mapInArrow(extract, schema)
+    return map_in_arrow(marked, extract, schema)
