@@ -36,6 +36,8 @@ _BLOCKS = frozenset(
     " fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li"
     " main menu nav ol p pre search section summary table tbody tfoot thead tr ul".split()
 )
+# Inside an article, only these can be a menu.
+_BOXES = frozenset("center dir div dl fieldset ol section table ul".split())
 # What a start tag ends: the open element, and where the search for it stops.
 _ENDS = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -167,9 +169,8 @@ def _content(element: Element, inside: bool) -> bool:
     """Whether the element is a text of the page and never part of a template."""
     if element.gone:
         return False
-    linked = element.link_chars > LINK_SHARE * element.chars
     if inside:
-        return not linked
+        return element.tag not in _BOXES or element.link_chars <= LINK_SHARE * element.chars
     return element.words >= CONTENT_WORDS and not element.link_chars
 
 
