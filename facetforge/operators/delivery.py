@@ -30,7 +30,7 @@ from facetforge.functions.columns import percent
 from facetforge.operators.documents import feature_array
 from facetforge.operators.ordering import running_totals
 from facetforge.sources.tables import DOCUMENT_SCHEMA, read_documents
-from facetforge.storage import partition_folder
+from facetforge.storage import materialise, partition_folder
 
 log = logging.getLogger(__name__)
 
@@ -128,13 +128,16 @@ def write_dead_letters(bad: DataFrame, path: str, run_id: str) -> None:
     bad.write.mode("append").option("ignoreNullFields", False).json(folder)
 
 
-def write_fallback(scored: DataFrame, path: str) -> None:
-    """Replace ``path`` by the rows as JSON, vectors as plain arrays so that the
-    files can be loaded again."""
+def write_fallback(scored: DataFrame, path: str, run_id: str) -> str:
+    """Add the rows as JSON under their run, vectors as plain arrays so that the
+    files can be loaded again. Nothing is replaced: a fallback may hold the only
+    copy of its documents. Returns the folder of the run."""
     plain = scored
     if "features" in scored.columns:
         plain = scored.withColumn("features", feature_array(scored))
-    plain.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    folder = partition_folder(path, "run_id", run_id)
+    plain.write.mode("append").option("ignoreNullFields", False).json(folder)
+    return folder
 
 
 @dataclass(frozen=True)
@@ -143,6 +146,7 @@ class LoadResult:
     written: int
     dead_lettered: int
     path: str
+    duplicates: int = 0  # of the dead letters, those whose id the load has already
 
 
 def load_documents(
@@ -159,12 +163,15 @@ def load_documents(
 ) -> LoadResult:
     """Load documents of one tag into a document table.
 
-    Documents with a problem (by default: missing fields), and those of another
-    tag, become dead letters.
+    Documents with a problem (by default: missing fields), those of another tag,
+    and all but one of the documents with the same id become dead letters.
     Without a store, or when the tag is loaded already and ``when_present`` is
     "divert", the documents go to ``fallback_path``. With "resume" only those
-    that are missing are added. On an error the fallback is written and the
-    error raised again.
+    that are missing are added. On any error, also when the store cannot be
+    opened, the fallback is written and the error raised again.
+
+    Fallback and dead letters are added under the run; neither replaces anything,
+    so ``documents`` may come from ``replay`` of the same paths.
 
     ``documents`` is read a second time if some of them are bad, so it should
     come from a stored table, not from a long computation.
@@ -172,46 +179,92 @@ def load_documents(
     if when_present not in ("divert", "resume"):
         raise ValueError("when_present must be divert or resume")
     if store_path is None:
-        return _divert(documents, fallback_path)
-    create_store(documents.sparkSession, store_path, format)
-    stored = read_documents(documents.sparkSession, store_path, format)
-    stored = stored.filter(F.col("dataset_type") == dataset_type)
-    if when_present == "divert" and is_loaded(stored, dataset_type, threshold):
-        return _divert(documents, fallback_path)
+        return _divert(documents, fallback_path, run_id)
     try:
-        # A first load has nothing to compare with and needs no shuffle.
-        missing = documents if stored.isEmpty() else not_yet_stored(documents, stored)
-        other_tag = ~F.col("dataset_type").eqNullSafe(dataset_type)
-        error = F.coalesce(
-            F.when(other_tag, F.lit("other dataset type")),
-            problem_of(missing) if problem is None else problem,
-        )
-        is_bad = F.col("error").isNotNull()
-        # Both sides are counted in the pass that writes the good ones; without
-        # bad documents there is no second pass.
-        seen = Observation()
-        marked = missing.withColumn("error", error)
-        counted = marked.observe(
-            seen, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad")
-        )
-        # Good documents all have the one tag, so they go straight to its folder.
-        good = counted.filter(~is_bad).drop("error", "dataset_type")
-        folder = partition_folder(store_path, "dataset_type", dataset_type)
-        good.write.mode("append").format(format).save(folder)
-        written, rejected = seen.get.get("good", 0), seen.get.get("bad", 0)
-        if rejected:
-            write_dead_letters(marked.filter(is_bad), dead_letter_path, run_id)
+        create_store(documents.sparkSession, store_path, format)
+        stored = read_documents(documents.sparkSession, store_path, format)
+        stored = stored.filter(F.col("dataset_type") == dataset_type)
+        diverted = when_present == "divert" and is_loaded(stored, dataset_type, threshold)
+        if not diverted:
+            return _load(
+                documents, stored, store_path, dead_letter_path, dataset_type, run_id, problem, format
+            )
     except Exception:
         log.exception("load failed; writing the documents to %s", fallback_path)
-        write_fallback(documents, fallback_path)
+        write_fallback(documents, fallback_path, run_id)
         raise
-    return LoadResult("loaded", written, rejected, store_path)
+    return _divert(documents, fallback_path, run_id)
+
+
+def _load(
+    documents: DataFrame,
+    stored: DataFrame,
+    store_path: str,
+    dead_letter_path: str,
+    dataset_type: str,
+    run_id: str,
+    problem: Column | None,
+    format: str,
+) -> LoadResult:
+    # A first load has nothing to compare with and needs no join.
+    missing = documents if stored.isEmpty() else not_yet_stored(documents, stored)
+    other_tag = ~F.col("dataset_type").eqNullSafe(dataset_type)
+    error = F.coalesce(
+        F.when(other_tag, F.lit("other dataset type")),
+        problem_of(missing) if problem is None else problem,
+    )
+    is_bad = F.col("error").isNotNull()
+    marked = missing.withColumn("error", error)
+    marked, duplicates = _mark_duplicates(marked)
+    # Both sides are counted in the pass that writes the good ones; without bad
+    # documents there is no second pass.
+    seen = Observation()
+    counted = marked.observe(
+        seen, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad")
+    )
+    # Good documents all have the one tag, so they go straight to its folder.
+    good = counted.filter(~is_bad).drop("error", "dataset_type")
+    folder = partition_folder(store_path, "dataset_type", dataset_type)
+    good.write.mode("append").format(format).save(folder)
+    written, rejected = seen.get.get("good", 0), seen.get.get("bad", 0)
+    if rejected:
+        write_dead_letters(marked.filter(is_bad), dead_letter_path, run_id)
+    return LoadResult("loaded", written, rejected, store_path, duplicates)
+
+
+def _mark_duplicates(marked: DataFrame) -> tuple[DataFrame, int]:
+    """Give all good documents of an id but one the error "duplicate id".
+
+    Ids are counted with partial sums, so an id with very many copies is no hot
+    group. Only if some id repeats, the documents are written out with a number
+    each, and the smallest number of an id is the one that stays.
+    """
+    good = F.col("error").isNull()
+    counts = marked.filter(good).groupBy("id").agg(F.count("*").alias("copies"))
+    extra = counts.filter("copies > 1").agg(F.sum(F.col("copies") - 1)).first()[0]
+    if not extra:
+        return marked, 0
+    numbered = materialise(
+        marked.withColumn("_number", F.monotonically_increasing_id()), "numbered-documents"
+    )
+    first = (
+        numbered.filter(good)
+        .groupBy("id")
+        .agg(F.min("_number").alias("_number"))
+        .select("id", "_number", F.lit(True).alias("_first"))
+    )
+    told = numbered.join(first, ["id", "_number"], "left").withColumn(
+        "error",
+        F.coalesce("error", F.when(F.col("_first").isNull(), F.lit("duplicate id"))),
+    )
+    return told.select(*marked.columns), extra
 
 
-def _divert(documents: DataFrame, fallback_path: str) -> LoadResult:
+def _divert(documents: DataFrame, fallback_path: str, run_id: str) -> LoadResult:
     seen = Observation()
-    write_fallback(documents.observe(seen, F.count(F.lit(1)).alias("rows")), fallback_path)
-    return LoadResult("diverted", seen.get.get("rows", 0), 0, fallback_path)
+    counted = documents.observe(seen, F.count(F.lit(1)).alias("rows"))
+    folder = write_fallback(counted, fallback_path, run_id)
+    return LoadResult("diverted", seen.get.get("rows", 0), 0, folder)
 
 
 # ------------------------------------------------------------- external stores
@@ -334,7 +387,9 @@ def deliver(
         finally:
             client.close()
 
-    documents.mapInArrow(send_partition, schema).write.mode("overwrite").parquet(outcome_path)
+    # An outcome table may hold the only copy of refused documents: an existing
+    # one is an error, never replaced.
+    documents.mapInArrow(send_partition, schema).write.mode("errorifexists").parquet(outcome_path)
     return documents.sparkSession.read.schema(schema).parquet(outcome_path)
 
 

@@ -41,7 +41,7 @@ class PhaseTimer:
 
     def record(self, metric: str, value: float) -> None:
         self.rows.append((self.run, metric, float(value)))
-        log.info(log_line(metric, value) if metric != "auc" else f"Model AUC: {value}")
+        log.info(log_line(metric, value))
 
     def finish(self) -> None:
         self.record("total", int((time.monotonic() - self._started) * 1000))
@@ -90,37 +90,54 @@ def compare_accuracy(metrics: DataFrame, first: str, second: str) -> DataFrame:
     return pairs.withColumn("difference", F.abs(F.col("first_value") - F.col("second_value")))
 
 
-def report_lines(comparison: DataFrame, first: str, second: str) -> DataFrame:
+def report_lines(
+    comparison: DataFrame, first: str, second: str, qualities: DataFrame | None = None
+) -> DataFrame:
     """The comparison as lines of a Markdown table: (block, phase, value).
 
-    Ordered by block and phase, the two heading lines come first.
+    Ordered by block and phase, the two heading lines come first. With
+    ``qualities`` (from ``compare_accuracy``) a second table of accuracy and AUC
+    follows.
     """
     def cell(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit("N/A"))
 
+    def share(name: str) -> Column:
+        return F.coalesce(F.format_string("%.4f", F.col(name)), F.lit("N/A"))
+
+    def body(rows: DataFrame, block: int, key: str, *cells: Column) -> DataFrame:
+        text = F.concat(F.lit("| "), F.concat_ws(" | ", cell(key), *cells), F.lit(" |"))
+        return rows.select(F.lit(block).alias("block"), F.col(key).alias("phase"), text.alias("value"))
+
+    headings = [
+        (0, "", f"| Phase | {first} (ms) | {second} (ms) | Speedup |"),
+        (1, "", "| --- | --- | --- | --- |"),
+    ]
+    times = body(comparison, 2, "phase", cell("first_ms"), cell("second_ms"), cell("speedup"))
+    if qualities is not None:
+        headings += [
+            (3, "", f"| Metric | {first} | {second} | Difference |"),
+            (4, "", "| --- | --- | --- | --- |"),
+        ]
+        shares = [share(n) for n in ("first_value", "second_value", "difference")]
+        times = times.unionByName(body(qualities, 5, "metric", *shares))
     heading = comparison.sparkSession.createDataFrame(
-        [
-            (0, "", f"| Phase | {first} (ms) | {second} (ms) | Speedup |"),
-            (1, "", "| --- | --- | --- | --- |"),
-        ],
-        "block int, phase string, value string",
+        headings, "block int, phase string, value string"
     )
-    body = comparison.select(
-        F.lit(2).alias("block"),
-        F.col("phase"),
-        F.concat(
-            F.lit("| "),
-            F.concat_ws(" | ", cell("phase"), cell("first_ms"), cell("second_ms"), cell("speedup")),
-            F.lit(" |"),
-        ).alias("value"),
-    )
-    return heading.unionByName(body)
-
-
-def write_report(comparison: DataFrame, path: str, first: str, second: str) -> None:
-    """Report table as Parquet under ``path``/table and Markdown under
-    ``path``/text; sorted across the part files."""
+    return heading.unionByName(times)
+
+
+def write_report(
+    comparison: DataFrame,
+    path: str,
+    first: str,
+    second: str,
+    qualities: DataFrame | None = None,
+) -> None:
+    """Report tables as Parquet under ``path``/table (and ``path``/qualities) and
+    Markdown under ``path``/text; sorted across the part files."""
     comparison.write.mode("overwrite").parquet(f"{path}/table")
-    lines = report_lines(comparison, first, second).orderBy("block", "phase")
+    if qualities is not None:
+        qualities.write.mode("overwrite").parquet(f"{path}/qualities")
+    lines = report_lines(comparison, first, second, qualities).orderBy("block", "phase")
     lines.select("value").write.mode("overwrite").text(f"{path}/text")
-

@@ -25,6 +25,7 @@ def compare_metrics(
     metrics: DataFrame, first: str, second: str, report_path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     times = compare_times(metrics, first, second)
+    qualities = compare_accuracy(metrics, first, second)
     if report_path is not None:
-        write_report(times, report_path, first, second)
-    return times, compare_accuracy(metrics, first, second)
+        write_report(times, report_path, first, second, qualities)
+    return times, qualities

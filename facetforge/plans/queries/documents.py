@@ -148,6 +148,74 @@ def load_diverted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+def _places(spark: SparkSession, base: str) -> DataFrame:
+    """Documents and different ids by place: store, fallback and dead letters."""
+    found = {
+        "store": open_store(spark, f"{base}/store"),
+        "fallback": open_store(spark, f"{base}/fallback", "json"),
+        "dead": open_store(spark, f"{base}/dead", "json"),
+    }
+    counts = [
+        documents.agg(
+            F.lit(place).alias("place"),
+            F.count("*").alias("documents"),
+            F.count_distinct("id").alias("ids"),
+        )
+        for place, documents in found.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def _load_customers(documents: DataFrame, base: str, run: str, store: str, **options) -> None:
+    load_documents(documents, store, f"{base}/fallback", f"{base}/dead", "customers", run, **options)
+
+
+def fallback_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs diverted to one fallback: each keeps its documents."""
+    base = fresh_path(spark, "two-runs")
+    documents = customer_documents(spark, sf_dir)
+    late = F.col("predicted_class") == "in debt"
+    for run, part in (("first", documents), ("second", documents), ("third", documents.filter(late))):
+        _load_customers(part, base, run, f"{base}/store")
+    return _places(spark, base)
+
+
+def replay_after_divert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A diverted run, replayed with the same fallback path: diverted again, then
+    loaded into another store; the fallback keeps what it had."""
+    base = fresh_path(spark, "replay")
+    documents = customer_documents(spark, sf_dir)
+    for run in ("first", "second"):
+        _load_customers(documents, base, run, f"{base}/other")
+    diverted = replay(spark, f"{base}/fallback/run_id=second")
+    _load_customers(diverted, base, "third", f"{base}/other")
+    _load_customers(diverted, base, "fourth", f"{base}/store")
+    return _places(spark, base)
+
+
+def load_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which some come three times: one is stored, two are dead
+    letters."""
+    base = fresh_path(spark, "duplicates")
+    documents = customer_documents(spark, sf_dir)
+    again = documents.filter(F.col("predicted_class") == "in debt")
+    _load_customers(documents.union(again).union(again), base, "first", f"{base}/store")
+    return _places(spark, base)
+
+
+def fallback_when_store_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store path cannot hold a table: the load fails, the fallback has all."""
+    base = fresh_path(spark, "broken")
+    documents = customer_documents(spark, sf_dir)
+    try:
+        _load_customers(documents, base, "first", "nosuchscheme://store/documents")
+    except Exception as error:
+        failed = "nosuchscheme" in str(error)
+    else:
+        failed = False
+    return _places(spark, base).withColumn("failed", F.lit(failed))
+
+
 def dead_letter_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, bad = split_documents(customer_documents(spark, sf_dir), in_debt())
     both = good.withColumn("error", F.lit(None).cast("string")).unionByName(bad)
@@ -156,7 +224,9 @@ def dead_letter_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dead_letter_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = split_documents(customer_documents(spark, sf_dir), in_debt())[1]
-    fields = ("id", "predicted_class", "created_at_ms", "dataset_type", "error")
+    fields = (
+        "id", "features", "prediction", "predicted_class", "created_at_ms", "dataset_type", "error",
+    )
     return bad.select(failed_document_json(*fields).alias("line"))
 
 
@@ -169,7 +239,7 @@ def dead_letter_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_fallback_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "fallback")
-    write_fallback(embedding_documents(spark, sf_dir), path)
+    write_fallback(embedding_documents(spark, sf_dir), path, "run-1")
     return long_vectors(replay(spark, path), "id")
 
 
@@ -237,6 +307,10 @@ QUERIES = {
     "tag_count_or_zero": tag_count_or_zero,
     "load_and_reload": load_and_reload,
     "load_diverted": load_diverted,
+    "fallback_two_runs": fallback_two_runs,
+    "replay_after_divert": replay_after_divert,
+    "load_with_duplicates": load_with_duplicates,
+    "fallback_when_store_broken": fallback_when_store_broken,
     "dead_letter_split": dead_letter_split,
     "dead_letter_json": dead_letter_json,
     "dead_letter_replay": dead_letter_replay,
@@ -293,14 +367,36 @@ SQL = {
                count(*) AS documents
         FROM customer, (VALUES ('store'), ('fallback')) AS p(place) GROUP BY 1, 2
     """,
+    "fallback_two_runs": """
+        SELECT 'store' AS place, count(*) AS documents, count(*) AS ids FROM customer
+        UNION ALL SELECT 'fallback', count(*) + count(*) FILTER (c_acctbal < 0), count(*) FROM customer
+        UNION ALL SELECT 'dead', 0, 0
+    """,
+    "replay_after_divert": """
+        SELECT 'store' AS place, count(*) AS documents, count(*) AS ids FROM customer
+        UNION ALL SELECT 'fallback', 2 * count(*), count(*) FROM customer
+        UNION ALL SELECT 'dead', 0, 0
+    """,
+    "load_with_duplicates": """
+        SELECT 'store' AS place, count(*) AS documents, count(*) AS ids FROM customer
+        UNION ALL SELECT 'fallback', 0, 0
+        UNION ALL SELECT 'dead', 2 * count(*), count(*) FROM customer WHERE c_acctbal < 0
+    """,
+    "fallback_when_store_broken": """
+        SELECT place, CASE place WHEN 'fallback' THEN count(*) ELSE 0 END AS documents,
+               CASE place WHEN 'fallback' THEN count(*) ELSE 0 END AS ids, true AS failed
+        FROM customer, (VALUES ('store'), ('fallback'), ('dead')) AS p(place) GROUP BY place
+    """,
     "dead_letter_split": """
         SELECT CASE WHEN c_acctbal < 0 THEN 'in debt' ELSE 'in credit' END AS predicted_class,
                CASE WHEN c_acctbal < 0 THEN 'negative balance' END AS error, count(*) AS documents
         FROM customer GROUP BY 1, 2
     """,
     "dead_letter_json": f"""
-        SELECT '{{"id":"' || {_CUSTOMER_ID} || '","predicted_class":"in debt","created_at_ms":'
-               || {BATCH_TIME} || ',"dataset_type":"customers","error":"negative balance"}}' AS line
+        SELECT '{{"id":"' || {_CUSTOMER_ID} || '","features":[' || c_acctbal || ','
+               || CAST(c_nationkey AS DOUBLE) || '],"prediction":0.0,"predicted_class":"in debt",'
+               || '"created_at_ms":{BATCH_TIME},"dataset_type":"customers",'
+               || '"error":"negative balance"}}' AS line
         FROM customer WHERE c_acctbal < 0
     """,
     "dead_letter_replay": f"""

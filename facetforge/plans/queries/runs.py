@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from facetforge.functions.loglines import log_line
 from facetforge.operators.metrics import confusion_matrix, summary
 from facetforge.operators.runs import compare_accuracy, compare_times, report_lines
 from facetforge.plans.queries.common import table
@@ -14,6 +15,10 @@ from facetforge.sources.logs import read_run_log, run_metrics
 from facetforge.storage import fresh_path
 
 
+# What run_classification records.
+JOB_METRICS = ("prepare", "train", "predict", "evaluate", "sink", "total", "accuracy", "auc")
+
+
 def log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written as log lines, one log per event type, and mined again."""
     value = F.col("value")
@@ -38,6 +43,22 @@ def log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def own_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All metrics that a job records, logged as the job logs them and mined."""
+    measured = table(spark, sf_dir, "events").agg(
+        *[
+            F.sum(F.when(F.col("event_id") % len(JOB_METRICS) == i, 1).otherwise(0)).alias(m)
+            for i, m in enumerate(JOB_METRICS)
+        ]
+    )
+    lines = [F.lit(log_line(m, 7)) for m in JOB_METRICS]
+    written = [F.regexp_replace(x, r"\b7(\.0)?\b", F.col(m).cast("string")) for m, x in zip(JOB_METRICS, lines)]
+    path = fresh_path(spark, "own-log")
+    head = F.lit("2024-01-01 00:00:00 INFO facetforge.operators.runs: ")
+    measured.select(F.explode(F.array(*[F.concat(head, x) for x in written])).alias("value")).write.text(path)
+    return run_metrics(read_run_log(spark, path)).select("metric", "value")
+
+
 def daily_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric table with event types as runs and days as phases."""
     return (
@@ -53,15 +74,17 @@ def run_speedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     times = compare_times(daily_times(spark, sf_dir), "click", "view")
-    return report_lines(times, "click", "view").select("block", "value")
+    measured = rule_accuracies(spark, sf_dir, "click", "view")
+    qualities = compare_accuracy(measured, "click", "view")
+    return report_lines(times, "click", "view", qualities).select("block", "value")
 
 
-def accuracy_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_accuracies(spark: SparkSession, sf_dir: str, *runs: str) -> DataFrame:
     """Two rules over the same order lines as two runs."""
     lines = table(spark, sf_dir, "lineitem")
-    rules = {"by_discount": F.col("l_discount") > 0.05, "by_tax": F.col("l_tax") > 0.06}
+    rules = zip(runs, (F.col("l_discount") > 0.05, F.col("l_tax") > 0.06), strict=True)
     measured = []
-    for run, rule in rules.items():
+    for run, rule in rules:
         scored = lines.select(
             (F.col("l_returnflag") == "R").cast("double").alias("label"),
             rule.cast("double").alias("prediction"),
@@ -71,12 +94,18 @@ def accuracy_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit(run).alias("run"), F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")
             )
         )
-    compared = compare_accuracy(reduce(DataFrame.unionByName, measured), "by_discount", "by_tax")
+    return reduce(DataFrame.unionByName, measured)
+
+
+def accuracy_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = ("by_discount", "by_tax")
+    compared = compare_accuracy(rule_accuracies(spark, sf_dir, *runs), *runs)
     return compared.withColumn("difference", F.round("difference", 9))
 
 
 QUERIES = {
     "log_metrics": log_metrics,
+    "own_log_roundtrip": own_log_roundtrip,
     "run_speedup": run_speedup,
     "run_report": run_report,
     "accuracy_parity": accuracy_parity,
@@ -117,6 +146,17 @@ SQL = {
         UNION ALL SELECT 2, concat('| ', concat_ws(' | ', phase,
             coalesce(CAST(first_ms AS VARCHAR), 'N/A'), coalesce(CAST(second_ms AS VARCHAR), 'N/A'),
             coalesce(CAST(speedup AS VARCHAR), 'N/A')), ' |') FROM compared
+        UNION ALL SELECT 3, '| Metric | click | view | Difference |'
+        UNION ALL SELECT 4, '| --- | --- | --- | --- |'
+        UNION ALL SELECT 5, printf('| accuracy | %.4f | %.4f | %.4f |', a, b, abs(a - b)) FROM (
+            SELECT avg(CAST((l_returnflag = 'R') = (l_discount > 0.05) AS DOUBLE)) AS a,
+                   avg(CAST((l_returnflag = 'R') = (l_tax > 0.06) AS DOUBLE)) AS b FROM lineitem)
+    """,
+    "own_log_roundtrip": """
+        SELECT metric, CAST(count(event_id) AS DOUBLE) AS value
+        FROM (VALUES (0, 'prepare'), (1, 'train'), (2, 'predict'), (3, 'evaluate'), (4, 'sink'),
+                     (5, 'total'), (6, 'accuracy'), (7, 'auc')) AS m(place, metric)
+        LEFT JOIN events ON event_id % 8 = place GROUP BY metric
     """,
     "accuracy_parity": """
         WITH measured AS (

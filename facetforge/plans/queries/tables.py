@@ -21,13 +21,44 @@ def csv_scan_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_scan_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
     path = fresh_path(spark, "orders-csv")
     publish(orders, path)
     return read_headed_csv(spark, path, schema=orders.schema)
 
 
+def csv_reordered_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns are found by their names, whatever the order of the schema."""
+    customers = table(spark, sf_dir, "customer")
+    path = fresh_path(spark, "reordered-csv")
+    publish(customers.select("c_acctbal", "c_nationkey", "c_name", "c_custkey"), path)
+    return read_headed_csv(spark, path, schema="c_custkey bigint, c_name string, c_acctbal double")
+
+
+def csv_corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a field too many or a word for a number are kept as text."""
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    line = (
+        F.when(F.col("c_nationkey") % 5 == 0, F.concat_ws(",", key, name, F.lit("extra")))
+        .when(F.col("c_nationkey") % 5 == 1, F.concat_ws(",", F.lit("none"), name))
+        .otherwise(F.concat_ws(",", key, name))
+    )
+    path = fresh_path(spark, "corrupt-csv")
+    # One column whose name is the header line; a tab separates nothing.
+    lines = table(spark, sf_dir, "customer").select(line.alias("c_custkey,c_name"))
+    lines.write.option("header", True).option("sep", "\t").csv(path)
+    rows = read_headed_csv(
+        spark, path, schema="c_custkey bigint, c_name string", corrupt_column="corrupt"
+    )
+    corrupt = F.col("corrupt")
+    return rows.select(
+        F.when(corrupt.isNull(), F.col("c_custkey")).alias("c_custkey"),
+        F.when(corrupt.isNull(), F.col("c_name")).alias("c_name"),
+        "corrupt",
+    )
+
+
 def headerless_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     raw, headed = fresh_path(spark, "raw"), fresh_path(spark, "headed")
@@ -62,6 +93,8 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "csv_scan_infer": csv_scan_infer,
     "csv_scan_schema": csv_scan_schema,
+    "csv_reordered_header": csv_reordered_header,
+    "csv_corrupt_rows": csv_corrupt_rows,
     "headerless_ingest": headerless_ingest,
     "publish_overwrite": publish_overwrite,
     "profile_table": profile_table,
@@ -90,8 +123,17 @@ SQL = {
                CAST(c_nationkey AS INTEGER) AS c_nationkey, c_acctbal, c_mktsegment
         FROM customer
     """,
+    "csv_reordered_header": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+    "csv_corrupt_rows": """
+        SELECT CASE WHEN c_nationkey % 5 > 1 THEN c_custkey END AS c_custkey,
+               CASE WHEN c_nationkey % 5 > 1 THEN c_name END AS c_name,
+               CASE c_nationkey % 5 WHEN 0 THEN c_custkey || ',' || c_name || ',extra'
+                                    WHEN 1 THEN 'none,' || c_name END AS corrupt
+        FROM customer
+    """,
     "csv_scan_schema": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+        FROM orders
     """,
     "headerless_ingest": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from facetforge.functions.loglines import (
     PHASES,
     accuracy_value,
+    auc_value,
     elapsed_ms,
     is_metric_line,
     phase_name,
@@ -26,19 +27,25 @@ def read_run_log(
 
 
 def run_metrics(lines: DataFrame, phases: dict[str, str] = PHASES) -> DataFrame:
-    """(run, metric, value) for each line that reports a time or an accuracy.
+    """(run, metric, value) for each line that reports a time, an accuracy or an
+    AUC.
 
-    Times keep their phase name and are in milliseconds.
+    Times keep their phase name and are in milliseconds; a phase without a short
+    name keeps its phrase.
     """
     line = F.col("value")
     phase = F.when(elapsed_ms(line).isNotNull(), phase_name(line, phases))
-    accuracy = accuracy_value(line)
+    accuracy, auc = accuracy_value(line), auc_value(line)
     return (
         lines.filter(is_metric_line(line))
         .select(
             "run",
-            F.coalesce(phase, F.when(accuracy.isNotNull(), F.lit("accuracy"))).alias("metric"),
-            F.coalesce(elapsed_ms(line).cast("double"), accuracy).alias("value"),
+            F.coalesce(
+                phase,
+                F.when(accuracy.isNotNull(), F.lit("accuracy")),
+                F.when(auc.isNotNull(), F.lit("auc")),
+            ).alias("metric"),
+            F.coalesce(elapsed_ms(line).cast("double"), accuracy, auc).alias("value"),
         )
         .filter(F.col("metric").isNotNull())
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from facetforge.functions.columns import column
+
 DOCUMENT_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -24,17 +26,47 @@ def read_headed_csv(
     path: str | Sequence[str],
     schema: T.StructType | str | None = None,
     infer: bool = True,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """CSV with a header row.
 
     Give ``schema`` for large inputs: inference reads the whole input one extra
     time. ``infer=False`` skips that pass as well and leaves every column a
     string, which is all that categorical encoding needs.
+
+    A given schema is matched to the header by name, in any order; a column that
+    no header has is an error, and so are files whose headers differ. Rows that
+    do not fit (more or fewer fields, values of another type) fail the read, or
+    with ``corrupt_column`` are kept there as text.
     """
-    reader = spark.read.option("header", True)
+    names = spark.read.option("header", True).csv(path).columns
+    # Without pruning every field is looked at, whatever is selected later.
+    reader = spark.read.option("header", True).option("columnPruning", False)
+    wanted = None
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+        wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        fields = {f.name: f for f in wanted.fields}
+        absent = [n for n in fields if n not in names]
+        if absent:
+            raise ValueError(f"the header has no column {', '.join(absent)}")
+    elif infer and corrupt_column is None:
+        return reader.option("mode", "FAILFAST").option("inferSchema", True).csv(path)
+    elif infer:
+        inferred = reader.option("inferSchema", True).csv(path).schema
+        fields = {f.name: f for f in inferred.fields}
+    else:
+        fields = {}
+    found = T.StructType([fields.get(n, T.StructField(n, T.StringType())) for n in names])
+    shown = list(wanted.names if wanted is not None else names)
+    reader = reader.option("enforceSchema", False)
+    if corrupt_column is None:
+        table = reader.option("mode", "FAILFAST").schema(found).csv(path)
+    else:
+        found = found.add(corrupt_column, T.StringType())
+        kept = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
+        table = kept.schema(found).csv(path)
+        shown.append(corrupt_column)
+    return table.select(*[column(n) for n in shown])
 
 
 def attach_header(spark: SparkSession, raw_path: str, names: Sequence[str]) -> DataFrame:

@@ -168,10 +168,62 @@ def test_split_is_complete(spark):
 def test_fallback_keeps_vectors_and_special_numbers(spark):
     path = fresh_path(spark, "fallback")
     docs = documents(spark, 3).withColumn("prediction", F.lit(float("inf")))
-    write_fallback(docs, path)
-    write_fallback(docs, path)
+    write_fallback(docs, path, "one")
     back = replay(spark, path)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)
+    write_fallback(docs, path, "two")
+    assert replay(spark, path).count() == 6
+
+
+def test_runs_diverted_to_one_fallback_keep_their_documents(spark):
+    base = fresh_path(spark, "runs")
+    load(documents(spark, 30), base)
+    load(documents(spark, 25), base, run="one")
+    load(documents(spark, 20), base, run="two")
+    assert replay(spark, f"{base}/fallback/run_id=one").count() == 25
+    assert replay(spark, f"{base}/fallback/run_id=two").count() == 20
+
+
+def test_replay_into_its_own_fallback_deletes_nothing(spark):
+    base = fresh_path(spark, "own")
+    load(documents(spark, 30), base)
+    load(documents(spark, 30), base, run="one")
+    back = replay(spark, f"{base}/fallback")
+    assert load(back, base, run="two").status == "diverted"
+    assert replay(spark, f"{base}/fallback/run_id=one").count() == 30
+    assert load(back, base, run="three", when_present="resume").written == 0
+
+
+def test_broken_stores_leave_a_fallback(spark, tmp_path):
+    base = fresh_path(spark, "broken")
+    docs = documents(spark, 12)
+    store = tmp_path / "store" / "dataset_type=docs"
+    store.mkdir(parents=True)
+    (store / "part-0.parquet").write_text("not parquet at all")
+    for run, path in (("one", str(tmp_path / "store")), ("two", "nosuchscheme://x/store")):
+        with pytest.raises(Exception):
+            load_documents(docs, path, f"{base}/fallback", f"{base}/dead", "docs", run)
+        assert replay(spark, f"{base}/fallback/run_id={run}").count() == 12
+
+
+def test_one_document_of_each_id_is_stored(spark):
+    base = fresh_path(spark, "duplicates")
+    docs = documents(spark, 5)
+    result = load(docs.union(docs).union(docs.limit(1)), base)
+    assert (result.written, result.dead_lettered, result.duplicates) == (5, 6, 6)
+    stored = open_store(spark, f"{base}/store")
+    assert stored.count() == 5 and stored.select("id").distinct().count() == 5
+    assert {r[0] for r in spark.read.json(f"{base}/dead").select("error").distinct().collect()} == {
+        "duplicate id"
+    }
+
+
+def test_outcomes_of_an_earlier_delivery_are_not_replaced(spark, tmp_path):
+    path = fresh_path(spark, "outcome")
+    folder = str(tmp_path)
+    deliver(documents(spark, 3), lambda: FolderStore(folder, lambda d: None), path, QUICK)
+    with pytest.raises(Exception, match="(?i)exist"):
+        deliver(documents(spark, 3), lambda: FolderStore(folder, lambda d: None), path, QUICK)
 
 
 def test_chunks():

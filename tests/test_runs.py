@@ -44,7 +44,8 @@ def test_log_pair(spark, logs):
     assert row["difference"] == pytest.approx(0.0005)
     text = [r["value"] for r in spark.read.text(str(logs / "report" / "text")).collect()]
     assert text[:2] == ["| Phase | slow (ms) | fast (ms) | Speedup |", "| --- | --- | --- | --- |"]
-    assert "| predict | 3000 | N/A | N/A |" in text and len(text) == 7
+    assert "| predict | 3000 | N/A | N/A |" in text and len(text) == 10
+    assert text[-1] == "| accuracy | 0.9985 | 0.9980 | 0.0005 |"
     assert spark.read.parquet(str(logs / "report" / "table")).count() == 5
 
 
@@ -78,8 +79,22 @@ def test_timer_table(spark, tmp_path):
 def test_own_log_lines_can_be_mined(spark, tmp_path, caplog):
     caplog.set_level("INFO", logger="facetforge")
     timer = PhaseTimer("own")
-    for metric, value in (("prepare", 12), ("train", 30), ("accuracy", 0.75), ("total", 99)):
+    recorded = {"prepare": 12, "train": 30, "predict": 5, "evaluate": 8, "sink": 6}
+    recorded |= {"accuracy": 0.75, "auc": 0.5, "total": 99}
+    for metric, value in recorded.items():
         timer.record(metric, value)
     (tmp_path / "own.log").write_text("\n".join(caplog.messages))
     metrics = run_metrics(read_run_log(spark, str(tmp_path / "own.log")))
     assert sorted(map(tuple, metrics.collect())) == sorted(timer.rows)
+
+
+def test_phases_keep_their_own_names(spark):
+    lines = [
+        ("INFO Post-processing completed in 5 ms", "post-processing"),
+        ("2024-01-01 INFO a.B: Model training completed successfully in 5 ms", "train"),
+        ("[main] GPU prediction completed in 5 ms", "predict"),
+        ("Vector storage completed in 5 ms", "sink"),
+    ]
+    frame = spark.createDataFrame([(n, x) for x, n in lines], "run string, value string")
+    found = run_metrics(frame).collect()
+    assert len(found) == 4 and all(r["run"] == r["metric"] and r["value"] == 5 for r in found)

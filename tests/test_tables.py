@@ -15,6 +15,32 @@ def test_headed_csv(spark, tmp_path):
     assert set(dict(read_headed_csv(spark, str(tmp_path / "t.csv"), infer=False).dtypes).values()) == {"string"}
 
 
+def test_headed_csv_loses_no_field(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    for text in ("a,b\n1,2,3\n", "a,b\n1\n", "a,b\n1,2\nx,4\n"):
+        path.write_text(text)
+        with pytest.raises(Exception, match="(?i)malformed|cannot parse|input string"):
+            read_headed_csv(spark, str(path), schema="a int, b int").select("a").collect()
+        kept = read_headed_csv(spark, str(path), schema="a int, b int", corrupt_column="bad").collect()
+        assert [r["bad"] for r in kept if r["bad"]] == [text.strip().split("\n")[-1]]
+
+
+def test_headed_csv_goes_by_names(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a,b,c\n1,2,3\n")
+    read = read_headed_csv(spark, str(path), schema="b int, a int")
+    assert [tuple(r) for r in read.collect()] == [(2, 1)] and read.columns == ["b", "a"]
+    with pytest.raises(ValueError, match="no column d"):
+        read_headed_csv(spark, str(path), schema="a int, d int")
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "two.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_headed_csv(spark, str(tmp_path), schema="a int, b int").collect()
+
+
 def test_headerless_ingest_keeps_every_row(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
