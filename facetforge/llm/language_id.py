@@ -8,10 +8,9 @@ cut it into pieces, found by a forward pass over its bytes.
 from __future__ import annotations
 
 import base64
-import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,12 +31,16 @@ SMOOTHING = 0.1
 REMEMBERED_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
-_TINY, _LIFT = 1e-150, 1e150
+# Texts scored together, in characters, and numbers in a table of words.
+GROUP_CHARS = 2_000_000
+_CELLS = 1 << 21
 
 
 def words_of(text: str) -> list[str]:
     """Runs of letters, in lower case."""
     found = _WORD.findall(text.lower())
+    if text.isascii():
+        return found
     return [w for w in found if w.isascii() or any(map(str.isalpha, w))]
 
 
@@ -57,71 +60,147 @@ class LanguageModel:
     pieces: dict[bytes, tuple[float, ...]]
 
 
+class PieceTable:
+    """Pieces, and beginnings of pieces, by a 64-bit hash of their bytes that can
+    be carried on byte by byte for many words at once."""
+
+    _SLOT_BITS = 20
+    _START, _PRIME = np.uint64(0xCBF29CE484222325), np.uint64(0x100000001B3)
+    _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, pieces: dict[bytes, tuple[float, ...]], languages: int):
+        self.longest = max(map(len, pieces), default=1)
+        begins = {piece[:end] for piece in pieces for end in range(1, len(piece) + 1)}
+        listed = sorted(begins, key=lambda x: (len(x), x))
+        codes = self._codes_of(listed)
+        slots = self._slot(codes)
+        order = np.argsort(slots, kind="stable")
+        # Of each slot, where its codes begin; after the last come those that
+        # match nothing.
+        self.codes = np.append(codes[order], np.zeros(8, np.uint64))
+        self.first = np.searchsorted(slots[order], np.arange(1 << self._SLOT_BITS)).astype(np.int32)
+        counts = np.bincount(slots.astype(np.int64), minlength=1)
+        self.deepest = int(counts.max()) if len(listed) else 0
+        # Row 0 is no piece.
+        known = [pieces.get(listed[i]) for i in order]
+        rows = np.cumsum([x is not None for x in known], dtype=np.int64)
+        self.row = np.where([x is not None for x in known], rows, 0)
+        self.chance = np.zeros((int(rows[-1]) + 1 if len(rows) else 1, languages))
+        self.chance[1:] = [x for x in known if x is not None] or np.zeros((0, languages))
+
+    def _codes_of(self, listed: list[bytes]) -> np.ndarray:
+        codes = np.empty(len(listed), np.uint64)
+        at = 0
+        while at < len(listed):
+            size, end = len(listed[at]), at
+            while end < len(listed) and len(listed[end]) == size:
+                end += 1
+            block = np.frombuffer(b"".join(listed[at:end]), np.uint8).reshape(-1, size)
+            code = np.full(end - at, self._START)
+            for i in range(size):
+                code = self.carry_on(code, block[:, i])
+            codes[at:end] = code
+            at = end
+        return codes
+
+    @classmethod
+    def carry_on(cls, code: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        return (code ^ byte) * cls._PRIME
+
+    @classmethod
+    def _slot(cls, codes: np.ndarray) -> np.ndarray:
+        return (codes * cls._SPREAD) >> np.uint64(64 - cls._SLOT_BITS)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """Places of the codes in the table, -1 where they begin no piece."""
+        at = self.first[self._slot(codes)]
+        found = np.where(self.codes[at] == codes, at, -1)
+        for k in range(1, self.deepest):
+            missing = np.flatnonzero(found < 0)
+            there = at[missing] + k
+            inside = there < len(self.codes)
+            missing, there = missing[inside], there[inside]
+            hit = self.codes[there] == codes[missing]
+            found[missing[hit]] = there[hit]
+        return np.where(found < len(self.row), found, -1)
+
+
 class WordScorer:
     """Log-probabilities of words under every language, with a bounded memory
     of words already seen."""
 
+    _RESCALE = 8  # bytes between two rescalings
+
     def __init__(self, model: LanguageModel):
         self.count = len(model.languages)
-        # Beginnings of pieces that are no piece themselves map to None, so that
-        # the search ends where no piece can follow.
-        self.table: dict[bytes, tuple[float, ...] | None] = {}
-        for piece in model.pieces:
-            for end in range(1, len(piece)):
-                self.table.setdefault(piece[:end], None)
-        self.table |= model.pieces
-        self.known: dict[str, list[float]] = {}
-
-    def word(self, word: str) -> list[float]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= REMEMBERED_WORDS:
-                self.known.clear()
-            found = self.known[word] = self.forward(b" " + word.encode("utf-8", "replace"))
-        return found
-
-    def forward(self, word: bytes) -> list[float]:
-        """Log of the sum over all segmentations of the product of their
-        pieces' probabilities."""
-        table, size, none = self.table, len(word), ()
-        ahead: list[list[float] | None] = [None] * (size + 1)
-        ahead[0] = [1.0] * self.count
-        lifted = 0.0
+        self.table = PieceTable(model.pieces, self.count)
+        self.known: dict[str, int] = {}
+        self.logs = np.zeros((0, self.count))
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Make sure that all these words are known."""
+        fresh = [w for w in dict.fromkeys(words) if w not in self.known]
+        if not fresh:
+            return
+        by_size: dict[int, list[tuple[int, bytes]]] = {}
+        for i, word in enumerate(fresh):
+            raw = b" " + word.encode("utf-8", "replace")
+            by_size.setdefault(len(raw), []).append((i, raw))
+        logs = np.empty((len(fresh), self.count))
+        for size, listed in by_size.items():
+            # So many words at once that their table stays small.
+            step = max(1, _CELLS // (size * max(self.count, 1)))
+            for first in range(0, len(listed), step):
+                part = listed[first : first + step]
+                block = np.frombuffer(b"".join(raw for _, raw in part), np.uint8)
+                logs[[i for i, _ in part]] = self.forward(block.reshape(len(part), size))
+        start = len(self.logs)
+        self.logs = np.concatenate([self.logs, logs])
+        self.known.update(zip(fresh, range(start, start + len(fresh))))
+
+    def forward(self, block: np.ndarray) -> np.ndarray:
+        """For words of one length, a row each: logs of the sums over all
+        segmentations of the products of their pieces' probabilities."""
+        many, size = block.shape
+        table = self.table
+        ahead = np.zeros((size + 1, many, self.count))
+        ahead[0] = 1.0
+        scaled = np.zeros((many, self.count))
         for i in range(size):
-            here = ahead[i]
-            if here is None:
-                continue
-            if max(here) < _TINY:
-                # Keep long words above the smallest number.
-                lifted += math.log(_LIFT)
-                for k in range(i, size + 1):
-                    if ahead[k] is not None:
-                        ahead[k] = [x * _LIFT for x in ahead[k]]
-                    elif k > i + 64:
-                        break
-                here = ahead[i]
-            for j in range(i + 1, size + 1):
-                p = table.get(word[i:j], none)
-                if p is none:
+            if i and i % self._RESCALE == 0:
+                factor = np.where(ahead[i] > 0, ahead[i], 1.0)
+                scaled += np.log(factor)
+                ahead[i : i + table.longest + 1] /= factor
+            alive = np.arange(many)
+            code = np.full(many, table._START)
+            for j in range(i, min(size, i + table.longest)):
+                code = table.carry_on(code, block[alive, j])
+                place = table.find(code)
+                goes_on = place >= 0
+                if not goes_on.all():
+                    alive, code, place = alive[goes_on], code[goes_on], place[goes_on]
+                if not len(alive):
                     break
-                if p is not None:
-                    there = ahead[j]
-                    ahead[j] = (
-                        [a * b for a, b in zip(here, p)]
-                        if there is None
-                        else [c + a * b for a, b, c in zip(here, p, there)]
-                    )
-        return [math.log(max(x, 5e-324)) - lifted for x in ahead[size]]
-
-    def text(self, text: str) -> list[float] | None:
-        """Log-probabilities of a text; None if it has no letter."""
-        counts = Counter(words_of(text))
-        if not counts:
-            return None
-        total = [0.0] * self.count
-        for word, n in counts.items():
-            total = [t + n * x for t, x in zip(total, self.word(word))]
-        return total
+                row = table.row[place]
+                ahead[j + 1, alive] += ahead[i, alive] * table.chance[row]
+        return np.log(np.maximum(ahead[size], 5e-324)) + scaled
+
+    def texts(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Log-probabilities of the texts; None for those without a letter."""
+        counts = [Counter(words_of(t)) for t in texts]
+        if len(self.known) > REMEMBERED_WORDS:
+            self.known.clear()
+            self.logs = np.zeros((0, self.count))
+        self.learn(w for c in counts for w in c)
+        found: list[np.ndarray | None] = []
+        for counted in counts:
+            if not counted:
+                found.append(None)
+                continue
+            places = np.fromiter((self.known[w] for w in counted), np.int64, len(counted))
+            times = np.fromiter(counted.values(), np.float64, len(counted))
+            found.append(times @ self.logs[places])
+        return found
 
 
 def fit_languages(
@@ -192,6 +271,19 @@ def fit_languages(
     return LanguageModel(languages, {piece: tuple(listed[i]) for piece, i in numbers.items()})
 
 
+def _groups(column: pa.Array) -> Iterator[list[str]]:
+    """The texts in lists of about GROUP_CHARS characters."""
+    held, size = [], 0
+    for value in column:
+        held.append(value.as_py() or "")
+        size += len(held[-1])
+        if size >= GROUP_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def identify_languages(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
     """The rows with lang_pred and score.
 
@@ -210,18 +302,18 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text_column: str =
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        scorer = WordScorer(model)
+        scorer = WordScorer(model) if model.languages else None
         for batch in batches:
             found, scores = [], []
-            for value in batch.column(place):
-                logs = scorer.text(value.as_py() or "") if model.languages else None
-                if logs is None:
-                    found.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                best = max(logs)
-                found.append(model.languages[logs.index(best)])
-                scores.append(1.0 / sum(math.exp(x - best) for x in logs))
+            for group in _groups(batch.column(place)):
+                for logs in scorer.texts(group) if scorer else [None] * len(group):
+                    if logs is None:
+                        found.append(UNDETERMINED)
+                        scores.append(0.0)
+                        continue
+                    best = int(np.argmax(logs))
+                    found.append(model.languages[best])
+                    scores.append(float(1.0 / np.exp(logs - logs[best]).sum()))
             arrays = [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
