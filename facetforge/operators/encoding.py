@@ -2,12 +2,13 @@
 
 A vocabulary is a table (attribute, category, n, idx): idx orders the categories
 of an attribute by falling frequency, equal frequencies by rising text. NULL is
-not a category. Two encoders share it:
+not a category. Three encoders share it:
 
 * ``encoder`` builds a reusable ML pipeline that yields the feature vector; its
   label lists live on the driver, so the vocabulary size is checked first;
-* ``one_hot_positions`` joins with the vocabulary and yields the ones of the
-  same matrix as rows, for vocabularies of any size.
+* ``encode_rows`` joins with the vocabulary instead and yields the same vectors
+  for vocabularies of any size;
+* ``one_hot_positions`` does too and yields the ones of the same matrix as rows.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ MAX_LOCAL_CATEGORIES = 100_000
 MAX_LOCAL_BYTES = 32 * 1024 * 1024
 # Longest category that counts as short in the broadcast part of a large vocabulary.
 SHORT_CATEGORY_BYTES = 256
+# Over how many keys the rows of a common long category are spread.
+SALTS = 64
 
 
 # Column names that the job itself adds.
@@ -143,8 +146,8 @@ def _label_lists(vocabulary: Vocabulary) -> dict[str, list[str]]:
     if not vocabulary.is_local():
         raise ValueError(
             f"{vocabulary.width} categories with {vocabulary.text_bytes} bytes are too many for a "
-            f"feature vector built from local label lists (at most {vocabulary.local_limit} and "
-            f"{MAX_LOCAL_BYTES}); use one_hot_positions, or leave out the largest attributes: "
+            f"reusable encoder with local label lists (at most {vocabulary.local_limit} and "
+            f"{MAX_LOCAL_BYTES}); use encode_rows, or leave out the largest attributes: "
             f"{vocabulary.sizes}"
         )
     labels: dict[str, list[str]] = {a: [] for a in vocabulary.attributes}
@@ -165,12 +168,13 @@ def encoder(df: DataFrame, vocabulary: Vocabulary, output: str = "features") ->
     attributes = [a for a in vocabulary.attributes if labels[a]]
     if not attributes:
         raise ValueError("no attribute has any category")
+    # One model for all attributes would need lists of one length: in PySpark,
+    # from_arrays_of_labels fills shorter ones up with NULL labels.
     indexers = [
         StringIndexerModel.from_labels(labels[a], a, f"{a}_indexed", handleInvalid="keep")
         for a in attributes
     ]
-    sample = as_categories(df, attributes)
-    indexed = PipelineModel(stages=indexers).transform(sample)
+    indexed = PipelineModel(stages=indexers).transform(as_categories(df, attributes))
     one_hot = OneHotEncoder(
         inputCols=[f"{a}_indexed" for a in attributes],
         outputCols=[f"{a}_encoded" for a in attributes],
@@ -179,6 +183,102 @@ def encoder(df: DataFrame, vocabulary: Vocabulary, output: str = "features") ->
     return PipelineModel(stages=[*indexers, one_hot, assembler])
 
 
+def _with_index(df: DataFrame, attribute: str, vocabulary: Vocabulary) -> DataFrame:
+    """Add the index of one attribute by joins with the vocabulary; unseen and
+    NULL categories get the number of categories.
+
+    The most frequent short categories are joined by broadcast. The rows they
+    settle take part in the shuffle join under keys of their own that match
+    nothing, so neither a common category nor NULL gathers in one task. Long
+    categories that are common are met by as many copies of their vocabulary
+    row as SALTS, and their rows are spread over these.
+    """
+    size = vocabulary.sizes[attribute]
+    share = max(1, vocabulary.local_limit // len(vocabulary.attributes))
+    own = vocabulary.table.filter(F.col("attribute") == attribute)
+    handy = (F.col("idx") < share) & (F.octet_length("category") <= SHORT_CATEGORY_BYTES)
+    frequent = own.filter(handy).select(F.col("category").alias("_seen"), F.col("idx").alias("_near"))
+    rare = own.filter(~handy)
+    spread = rare.filter(F.col("idx") < share).select(
+        "category", "idx", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    )
+    once = rare.filter(F.col("idx") >= share).select("category", "idx", F.lit(-1).alias("_salt"))
+    right = spread.unionByName(once).select(
+        F.col("category").alias("_rare"), F.col("idx").alias("_far"), "_salt"
+    )
+    # Whether the category is one of the few common long ones; bounded by the
+    # broadcast share, as hashes.
+    common = F.broadcast(
+        spread.select(F.xxhash64("category").alias("_hash"), F.lit(True).alias("_common")).distinct()
+    )
+    category = column(attribute)
+    settled = df.join(F.broadcast(frequent), category == F.col("_seen"), "left").drop("_seen")
+    open_key = F.col("_near").isNull() & category.isNotNull()
+    row = F.monotonically_increasing_id()
+    keyed = (
+        settled.withColumn("_row", row)
+        .withColumn("_hash", F.xxhash64(category))
+        .join(common, "_hash", "left")
+        .withColumn(
+            "_own_salt",
+            F.when(~open_key, -2 - F.pmod("_row", F.lit(1 << 20)))
+            .when(F.col("_common"), F.pmod("_row", F.lit(SALTS)))
+            .otherwise(F.lit(-1)),
+        )
+        .withColumn("_own_key", F.when(open_key, category).otherwise(F.lit("")))
+    )
+    joined = keyed.join(
+        right,
+        (F.col("_own_key") == F.col("_rare")) & (F.col("_own_salt") == F.col("_salt")),
+        "left",
+    )
+    index = F.coalesce("_near", "_far", F.lit(size)).cast("double")
+    return joined.select(
+        *[column(c) for c in df.columns], index.alias(f"{attribute}_indexed")
+    )
+
+
+def encode_rows(
+    df: DataFrame, vocabulary: Vocabulary, keep: Sequence[str], output: str = "features"
+) -> DataFrame:
+    """``keep`` and the feature vector, for vocabularies of any size: the same
+    vectors as those of ``encoder``.
+
+    Attributes are indexed by joins with the vocabulary where it is too large
+    for label lists; block widths come from its sizes. Vectors are sparse, so a
+    row costs one entry for each attribute however wide the vector is.
+    """
+    attributes = [a for a in vocabulary.attributes if vocabulary.sizes[a]]
+    if not attributes:
+        raise ValueError("no attribute has any category")
+    if vocabulary.is_local():
+        return encode(df, encoder(df, vocabulary, output), attributes, [*keep, output])
+    names = {k: f"_keep_{i}" for i, k in enumerate(keep)}
+    rows = as_categories(
+        df.select(*[column(k).alias(n) for k, n in names.items()], *[column(a) for a in attributes]),
+        attributes,
+    )
+    for attribute in attributes:
+        rows = _with_index(rows, attribute, vocabulary)
+    # With "keep", the encoder takes one category more than it has seen.
+    nominal = {
+        a: {"ml_attr": {"type": "nominal", "num_vals": vocabulary.sizes[a] + 1}} for a in attributes
+    }
+    rows = rows.withColumns(
+        {
+            f"{a}_indexed": F.col(f"{a}_indexed").alias(f"{a}_indexed", metadata=nominal[a])
+            for a in attributes
+        }
+    )
+    one_hot = OneHotEncoder(
+        inputCols=[f"{a}_indexed" for a in attributes],
+        outputCols=[f"{a}_encoded" for a in attributes],
+    ).fit(rows)
+    assembler = VectorAssembler(inputCols=[f"{a}_encoded" for a in attributes], outputCol=output)
+    encoded = assembler.transform(one_hot.transform(rows))
+    return encoded.select(*[F.col(n).alias(k) for k, n in names.items()], output)
+
+
 def encode(
     df: DataFrame, model: PipelineModel, attributes: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from facetforge.operators.documents import long_vectors
 from facetforge.operators.encoding import (
     category_counts,
     encode,
+    encode_rows,
     encoder,
     fit_vocabulary,
     one_hot_positions,
@@ -82,6 +83,15 @@ def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_vectors(encoded, "p_partkey")
 
 
+def assembled_features_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors over a vocabulary above the limit for label lists."""
+    orders = table(spark, sf_dir, "orders")
+    attributes = ["o_orderpriority", "o_custkey"]
+    vocabulary = fit_vocabulary(orders, attributes, local_limit=SMALL_LIMIT)
+    vectors = long_vectors(encode_rows(orders, vocabulary, ["o_orderkey"]), "o_orderkey")
+    return vectors.filter("value <> 0")
+
+
 def unseen_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted on the smaller parts, applied to all: larger sizes are unseen."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
@@ -101,6 +111,7 @@ QUERIES = {
     "one_hot_long": one_hot_long,
     "one_hot_distributed": one_hot_distributed,
     "assembled_features": assembled_features,
+    "assembled_features_large": assembled_features_large,
     "unseen_category": unseen_category,
 }
 
@@ -188,6 +199,10 @@ SQL = {
     "one_hot_long": _positions_sql("part", "p_partkey", list(PART_ATTRIBUTES)) + "SELECT * FROM ones",
     "one_hot_distributed": _positions_sql("orders", "o_orderkey", ["o_orderpriority", "o_custkey"])
     + "SELECT * FROM ones",
+    "assembled_features_large": _positions_sql(
+        "orders", "o_orderkey", ["o_orderpriority", "o_custkey"]
+    )
+    + "SELECT o_orderkey, CAST(pos AS INTEGER) AS pos, 1.0::DOUBLE AS value FROM ones",
     "assembled_features": _matrix_sql("part", "p_partkey", list(PART_ATTRIBUTES)),
     "unseen_category": _matrix_sql(
         "part",

@@ -8,7 +8,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from facetforge.operators import encoding
-from facetforge.operators.encoding import encode, encoder, fit_vocabulary, one_hot_positions
+from facetforge.operators.encoding import (
+    encode,
+    encode_rows,
+    encoder,
+    fit_vocabulary,
+    one_hot_positions,
+)
 
 
 def vectors(df, model, attributes, key="k"):
@@ -119,3 +125,29 @@ def test_too_many_categories_for_a_vector(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("a"))
     with pytest.raises(ValueError, match="too many"):
         encoder(df, fit_vocabulary(df, ["a"], local_limit=10))
+
+
+def test_vectors_of_any_vocabulary_are_those_of_the_encoder(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "SHORT_CATEGORY_BYTES", 40)
+    draw = random.Random(6)
+    pool = ["hot", "long " * 60, *[f"v{i}" for i in range(50)], *["x" * 50 + str(i) for i in range(5)], None]
+    rows = [
+        (i, draw.choice(["long " * 60, *pool]), draw.choice(["x", "y", None])) for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "k int, a string, b string")
+    wanted = vectors(df, encoder(df, fit_vocabulary(df, ["a", "b"])), ["a", "b"])
+    found = encode_rows(df, fit_vocabulary(df, ["a", "b"], local_limit=20), ["k"])
+    got = {r[0]: list(r[1]) for r in found.select("k", vector_to_array("features")).collect()}
+    assert got == wanted
+    unseen = df.withColumn("a", F.lit("never seen"))
+    found = encode_rows(unseen, fit_vocabulary(df, ["a", "b"], local_limit=20), ["k"])
+    for r in found.select("k", vector_to_array("features").alias("v")).collect():
+        assert r["v"] == [0.0] * (len(r["v"]) - 2) + wanted[r["k"]][-2:]
+
+
+def test_vectors_over_more_categories_than_label_lists_hold(spark):
+    df = spark.range(100_001).select(F.col("id").cast("string").alias("a"), "id")
+    vocabulary = fit_vocabulary(df, ["a"])
+    assert not vocabulary.is_local()
+    row = encode_rows(df, vocabulary, ["id"]).filter("id = 7").first()
+    assert row["features"].size == 100_001 and row["features"].numNonzeros() == 1
