@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetforge.config import BoostSettings, ClassificationTask
-from facetforge.operators.boosting import score, train_classifier
+from facetforge.operators.boosting import load_model, save_model, score, train_classifier
 from facetforge.operators.encoding import with_label
 from facetforge.operators.metrics import (
     accuracy,
@@ -20,6 +21,7 @@ from facetforge.operators.metrics import (
 )
 from facetforge.plans.classify import training_confusion
 from facetforge.plans.queries.common import FLAG_TASK, line_attributes, rule_scores, table
+from facetforge.storage import fresh_path
 
 # Fewer and smaller trees than the production setting keep the check short.
 SHORT = BoostSettings(rounds=5, max_depth=4)
@@ -82,6 +84,17 @@ def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_confusion(line_attributes(spark, sf_dir), FLAG_TASK, SHORT)
 
 
+def gbt_first_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One round of depth 1 on a label that follows no rule, saved and loaded
+    before it scores: the best split and its two leaves can be worked out."""
+    lines = line_attributes(spark, sf_dir)
+    path = fresh_path(spark, "first-tree")
+    save_model(train_classifier(lines, FLAG_TASK, BoostSettings(rounds=1, max_depth=1)), path)
+    scored = score(lines, load_model(spark, path), FLAG_TASK, by_combination=True)
+    positive = F.round(vector_to_array("probability")[1], 6).alias("probability")
+    return scored.groupBy("label", "prediction", positive).agg(F.count("*").alias("lines"))
+
+
 def gbt_training_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = rule_lines(spark, sf_dir)
     scored = score(lines, train_classifier(lines, RULE_TASK, TINY), RULE_TASK)
@@ -118,6 +131,7 @@ QUERIES = {
     "auc_rule": auc_rule,
     "gbt_rule_recovery": gbt_rule_recovery,
     "gbt_train_score": gbt_train_score,
+    "gbt_first_tree": gbt_first_tree,
     "gbt_training_auc": gbt_training_auc,
     "holdout_sides": holdout_sides,
     "holdout_metrics": holdout_metrics,
@@ -170,6 +184,31 @@ SQL = {
     """,
     "gbt_rule_recovery": _LABELLED
     + """SELECT label, label AS prediction, count(*) AS "count" FROM labelled GROUP BY label""",
+    "gbt_first_tree": """
+        WITH labelled AS (
+            SELECT l_returnflag = 'R' AS hit, 2.0::DOUBLE * CAST(l_returnflag = 'R' AS INT) - 1 AS y,
+                   l_linestatus, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size
+            FROM lineitem JOIN part ON l_partkey = p_partkey),
+        n AS (SELECT count(*) AS n, sum(y) AS s FROM labelled),
+        splits AS (
+            SELECT attribute, category, count(*) AS n1, sum(y) AS s1
+            FROM (UNPIVOT labelled ON l_linestatus, p_brand, p_type, p_size
+                  INTO NAME attribute VALUE category) GROUP BY attribute, category),
+        best AS (
+            SELECT attribute, category, s1 / n1 AS inside, (s - s1) / (n - n1) AS outside
+            FROM splits, n WHERE n1 < n
+            ORDER BY s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) DESC, attribute, category LIMIT 1),
+        leaves AS (
+            SELECT CAST(hit AS DOUBLE) AS label,
+                   CASE WHEN CASE attribute WHEN 'l_linestatus' THEN l_linestatus
+                                            WHEN 'p_brand' THEN p_brand WHEN 'p_type' THEN p_type
+                                            ELSE p_size END = category
+                        THEN inside ELSE outside END AS leaf
+            FROM labelled, best)
+        SELECT label, CAST(leaf > 0 AS DOUBLE) AS prediction,
+               round(1 / (1 + exp(-2 * leaf)), 6) AS probability, count(*) AS lines
+        FROM leaves GROUP BY 1, 2, 3
+    """,
     "gbt_training_auc": _LABELLED
     + """SELECT count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives,
                 1.0::DOUBLE AS auc FROM labelled""",

@@ -5,10 +5,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+# The parts of the application's folder that new tables go to.
+_SCOPES: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,12 +42,35 @@ def enable_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/facetforge-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path not used before. All paths of one application lie under one
-    folder, which can be deleted as a whole when its results are no longer read.
+    folder, and those made inside ``temporary_copies`` in a part of it that is
+    deleted at the end.
+    """
+    return "/".join([_application_folder(spark), *_SCOPES.get(), f"{name}-{uuid.uuid4().hex}"])
+
+
+@contextmanager
+def temporary_copies(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that are written inside the block when it ends.
+
+    Results are lazy and may read these tables, so write them elsewhere before.
+    Blocks may be nested; each deletes its own.
     """
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/facetforge-{application}/{name}-{uuid.uuid4().hex}"
+    scopes = (*_SCOPES.get(), f"scope-{uuid.uuid4().hex}")
+    token = _SCOPES.set(scopes)
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+            "/".join([_application_folder(spark), *scopes])
+        )
+        java.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(java, True)
 
 
 # Characters that are written as %XX in partition folder names.

@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.ml.linalg import VectorUDT
 
 from facetforge.operators.boosting import prepare_training
 from facetforge.config import ClassificationTask
-from facetforge.storage import fresh_path, materialise, shared_folder
+from facetforge.storage import fresh_path, materialise, shared_folder, temporary_copies
 
 
 def session(master, setting):
@@ -38,3 +39,20 @@ def test_materialised_table_keeps_vectors_and_their_metadata(spark):
     assert isinstance(stored.schema["features"].dataType, VectorUDT)
     assert stored.schema["features"].metadata == rows.schema["features"].metadata != {}
     assert sorted(map(str, stored.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_copies_of_a_block_are_deleted_at_its_end(spark):
+    def copies():
+        return {p for p in Path(shared_folder(spark)).rglob("*.parquet")}
+
+    before = copies()
+    with temporary_copies(spark):
+        outer = materialise(spark.range(3), "outer")
+        with pytest.raises(KeyError), temporary_copies(spark):
+            inner = materialise(spark.range(5), "inner")
+            assert inner.count() == 5
+            raise KeyError
+        assert outer.count() == 3
+    assert copies() == before
+    with temporary_copies(spark):
+        pass
