@@ -7,10 +7,14 @@ per range is combined at the end.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from facetforge.functions.columns import column
 from facetforge.storage import materialise
@@ -62,25 +66,59 @@ def running_totals(
 ) -> DataFrame:
     """Add, for each entry, the running sum of a column in the given order.
 
-    The order must be total. Every range holds a bounded share of the rows, so
-    the window inside a range never sees the whole table.
+    The order must be total; NULL adds nothing. Every task of the sort adds up
+    its own range while it writes it, batch by batch, so the ordered table is
+    not shuffled again and no task holds its range in memory. Reading it, the
+    totals of the earlier ranges are added.
     """
-    parts = df.select("*", *[c.alias(f"_part_{n}") for n, c in totals.items()])
-    ordered = _range_sorted(parts, order_by)
-    sums = ordered.groupBy("_range").agg(*[F.sum(f"_part_{n}").alias(n) for n in totals])
-    offsets = _before_each_range(sums, list(totals))
-    so_far = (
-        Window.partitionBy("_range").orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    summed = df.limit(0).agg(*[F.sum(c).alias(n) for n, c in totals.items()]).schema
+    kinds = [f.dataType for f in summed.fields]
+    count, size = len(df.columns), len(totals)
+    # Positional names, so that any column name may pass through Arrow.
+    names = [f"c{i}" for i in range(count)]
+    sums, within = [f"_part_{i}" for i in range(size)], [f"_within_{i}" for i in range(size)]
+    # The projection above the sort keeps its order.
+    ordered = df.orderBy(*order_by).select(
+        *[column(c).alias(n) for c, n in zip(df.columns, names)],
+        *[
+            F.coalesce(c.cast(k), F.lit(0).cast(k)).alias(n)
+            for n, c, k in zip(sums, totals.values(), kinds)
+        ],
     )
-    kept = [column(c) for c in df.columns]
-    within = ordered.select(
-        *kept, "_range", *[F.sum(f"_part_{n}").over(so_far).alias(f"_within_{n}") for n in totals]
+    schema = T.StructType(
+        [
+            *ordered.schema.fields,
+            *[T.StructField(n, k) for n, k in zip(within, kinds)],
+            T.StructField("_range", T.IntegerType()),
+        ]
     )
-    return within.join(F.broadcast(offsets), "_range").select(
-        *kept,
+    arrow_kinds = [to_arrow_type(k) for k in kinds]
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId()
+        so_far = [pa.scalar(0, pa.int64()).cast(k) for k in arrow_kinds]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            running = [
+                pc.cumulative_sum(batch.column(count + i).cast(k), start=so_far[i])
+                for i, k in enumerate(arrow_kinds)
+            ]
+            so_far = [r[-1] for r in running]
+            where = pa.array([place] * batch.num_rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, *running, where], names=schema.names)
+
+    stored = materialise(ordered.mapInArrow(add_up, schema), "ordered")
+    ranges = stored.groupBy("_range").agg(*[F.sum(n).alias(n) for n in sums])
+    offsets = _before_each_range(ranges, sums)
+    joined = stored.join(F.broadcast(offsets), "_range")
+    return joined.select(
+        *[F.col(n).alias(c) for n, c in zip(names, df.columns)],
         *[
-            (F.coalesce(F.col(f"_before_{n}"), F.lit(0)) + F.col(f"_within_{n}")).alias(n)
-            for n in totals
+            (F.coalesce(F.col(f"_before_{s}"), F.lit(0)) + F.col(w)).cast(k).alias(n)
+            for n, s, w, k in zip(totals, sums, within, kinds)
         ],
     )
 

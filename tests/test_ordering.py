@@ -29,6 +29,24 @@ def test_running_totals_match_brute_force(spark):
     assert got == wanted
 
 
+def test_running_totals_of_doubles_and_nulls(spark):
+    values = [(3, 0.5, None), (1, 1.5, 2), (2, None, 7)]
+    df = spark.createDataFrame(values, "k int, `a.b` double, n int")
+    totals = {"x": F.col("`a.b`"), "y": F.col("n")}
+    rows = running_totals(df, [F.col("k")], totals).orderBy("k").collect()
+    assert [(r["x"], r["y"]) for r in rows] == [(1.5, 2), (1.5, 9), (2.0, 9)]
+    assert running_totals(df.limit(0), [F.col("k")], totals).count() == 0
+
+
+def test_the_ordered_table_is_not_shuffled_again(spark):
+    df = spark.range(1000).repartition(5)
+    done = running_totals(df, [F.col("id").desc()], {"total": F.col("id")})
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    # Only the totals of the ranges move; the rows are read and joined by broadcast.
+    streamed = plan[: plan.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in streamed and "Exchange hashpartitioning" not in streamed
+
+
 def test_51_rows_make_batches_of_25_25_1(spark):
     batches = batch_numbers(spark.range(51), [F.col("id")]).groupBy("batch_no").count()
     assert sorted(tuple(r) for r in batches.collect()) == [(1, 25), (2, 25), (3, 1)]
