@@ -94,6 +94,7 @@ class TrainingSet:
     rows: DataFrame
     encoder: PipelineModel
     distinct_rows: int
+    combinations: DataFrame  # the attributes of the stored training rows
 
     def release(self) -> None:
         self.rows.unpersist()
@@ -111,7 +112,7 @@ def prepare_training(df: DataFrame, task: ClassificationTask) -> TrainingSet:
     count = compact.count()
     rows = sized_for_training(prepared, count, vocabulary.width).persist(StorageLevel.MEMORY_AND_DISK)
     rows.count()
-    return TrainingSet(rows, preparation, count)
+    return TrainingSet(rows, preparation, count, compact.select(*[column(a) for a in attributes]))
 
 
 def fit_trees(training: TrainingSet, settings: BoostSettings = BoostSettings()) -> PipelineModel:
@@ -131,7 +132,11 @@ def train_classifier(
 
 
 def score(
-    df: DataFrame, model: PipelineModel, task: ClassificationTask, by_combination: bool = False
+    df: DataFrame,
+    model: PipelineModel,
+    task: ClassificationTask,
+    by_combination: bool = False,
+    combinations: DataFrame | None = None,
 ) -> DataFrame:
     """Keys, label (when the target is there), features and the model's columns
     for every row.
@@ -140,6 +145,9 @@ def score(
     combination of attributes is scored once and the scores are joined to the
     rows by broadcast, provided the combinations are few enough; otherwise, and
     by default, every row runs through the model. Neither way shuffles the rows.
+
+    ``combinations`` spares the scan that finds the combinations: attributes, as
+    text, among which are those of every row of ``df``.
     """
     attributes = feature_columns(df, task)
     rows = with_label(df, task) if task.target in df.columns else df
@@ -154,11 +162,13 @@ def score(
         ),
         attributes,
     )
-    combinations = _few_combinations(carried, attributes) if by_combination else None
-    if combinations is None:
+    few = None
+    if by_combination:
+        few = _few_combinations(carried if combinations is None else combinations, attributes)
+    if few is None:
         scored = encode(carried, model, attributes)
     else:
-        scores = materialise(encode(combinations, model, attributes), "combination-scores")
+        scores = materialise(encode(few, model, attributes), "combination-scores")
         scored = _join_scores(carried, scores, attributes)
     return scored.select(
         *[F.col(f"_key_{i}").alias(k) for i, k in enumerate(task.keys)], *label, *MODEL_COLUMNS

@@ -73,14 +73,22 @@ def run_classification(
     with timer.phase("predict"):
         # Few distinct training rows mean few attribute combinations to score.
         few = prepared.distinct_rows <= MAX_LOCAL_COMBINATIONS
-        scored = materialise(score(table, model, task, by_combination=few), "scored")
+        # Training has seen every combination if it left out no row.
+        seen = None if holdout or task.null_label == "drop" else prepared.combinations
+        scored = materialise(
+            score(table, model, task, by_combination=few, combinations=seen), "scored"
+        )
     with timer.phase("evaluate"):
         judged = holdout_split(scored, task.keys, holdout)[1] if holdout else scored
-        confusion = materialise(confusion_matrix(judged), "confusion")
-        auc = area_under_roc(positive_probability(judged)).first()["auc"]
+        # One pass over the scored rows serves both the matrix and the AUC.
+        cells = positive_probability(judged).groupBy("label", "prediction", "score")
+        cells = materialise(cells.agg(F.count("*").alias("rows")), "judged")
+        confusion = confusion_matrix(cells, weight="rows")
+        auc = area_under_roc(cells, weight="rows").first()["auc"]
         metrics = summary(confusion).withColumn("auc", F.lit(auc).cast("double"))
+        found = metrics.first()
         for quality in QUALITIES:
-            value = metrics.first()[quality]
+            value = found[quality]
             timer.record(quality, float("nan") if value is None else value)
     load = None
     if target is not None:
