@@ -265,6 +265,31 @@ def _with_component(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
 
 
+def _merge_labels(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels after further links: only the components that these links join are
+    worked out anew."""
+    ends = found.select("key").union(found.select(F.col("head").alias("key"))).distinct()
+    known = materialise(
+        labels.join(ends, "key", "full_outer").select(
+            "key", F.coalesce("component", "key").alias("component")
+        ),
+        "labels",
+    )
+    left = known.select("key", F.col("component").alias("low"))
+    right = known.select(F.col("key").alias("head"), F.col("component").alias("high"))
+    joined = components(
+        found.join(left, "key")
+        .join(right, "head")
+        .select(F.col("low").alias("key"), F.col("high").alias("head"))
+    ).select(F.col("key").alias("component"), F.col("component").alias("merged"))
+    return materialise(
+        known.join(joined, "component", "left").select(
+            "key", F.coalesce("merged", "component").alias("component")
+        ),
+        "labels",
+    )
+
+
 def _mixed(rows: DataFrame) -> DataFrame:
     """(bucket, n) of the buckets that still hold several components."""
     return (
@@ -298,7 +323,7 @@ def text_classes(
     are split by a second and a third sketch, with new heads, so texts far from
     the first head still meet those close to them. No bucket is cut off.
     """
-    texts = labels = tested = links = None
+    texts = labels = tested = None
     rows = nodes.select("key", F.posexplode("sketch").alias("top", "bucket"))
     for level in range(levels):
         rows = materialise(_with_component(rows, labels), "bucket-rows")
@@ -344,9 +369,8 @@ def text_classes(
             .select("key", "head")
         )
         found = materialise(confirm(likely, texts, similarity, k), "confirmed")
-        links = found if links is None else links.union(found)
         if not found.isEmpty():
-            labels = components(links)
+            labels = components(found) if labels is None else _merge_labels(labels, found)
         if level + 1 < levels:
             parents = active.select("bucket", "key", "top")
             again = _with_component(parents, labels)
