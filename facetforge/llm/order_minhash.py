@@ -4,6 +4,8 @@ A sketch takes the few occurrence-labelled k-mers of words with the smallest
 hashes and keeps them in the order of the text, so it tells texts apart that
 share their words in another order. Texts that share sketches become candidates;
 an exact k-mer comparison and a banded alignment of the words confirm them.
+Where many texts share a long passage, the candidates come from their rarest
+k-mers instead, by bounds that no similar pair escapes.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ AGREEING = 3
 # How many sketches at most are combined to split mixed buckets.
 LEVELS = 3
 _CELLS = 1 << 20  # hashes computed at once
+_SLOTS = 1 << 20  # counters of k-mer frequencies; collisions only cost time
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -257,6 +260,128 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def kmer_ranks(texts: DataFrame, k: int = K) -> np.ndarray:
+    """A rank by frequency for each slot of k-mer hashes, over texts (key, text).
+    Frequent k-mers rank high; each task adds up its own counts first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(_SLOTS, np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                hashes = np.unique(kmer_hashes(words_of(value.as_py() or ""), k))
+                slots, times = np.unique(hashes & np.uint64(_SLOTS - 1), return_counts=True)
+                n[slots.astype(np.int64)] += times
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int64()), pa.array(n[used], pa.int64())], names=["slot", "n"]
+        )
+
+    counted = texts.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(
+        F.sum("n").alias("n")
+    )
+    rows = counted.toArrow()
+    ranks = np.zeros(_SLOTS, np.uint8)
+    ranks[rows["slot"].to_numpy()] = np.minimum(255, 1 + 6 * np.log2(rows["n"].to_numpy()))
+    return ranks
+
+
+def rare_kmers(
+    texts: DataFrame, ranks: np.ndarray, similarity: float = SIMILARITY, k: int = K
+) -> DataFrame:
+    """(key, kmers, bucket, place, indexed): the first k-mers of each text when
+    its k-mers are put in one order for all texts, rare ones first.
+
+    Two similar texts share one of these, and the smaller text has it indexed: a
+    pair that shares none of them has too few k-mers left to share.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, sizes, buckets, places, indexed = [], [], [], [], []
+            for i, value in enumerate(batch.column(1)):
+                hashes = np.unique(kmer_hashes(words_of(value.as_py() or ""), k))
+                n = len(hashes)
+                if not n:
+                    continue
+                rank = ranks[(hashes & np.uint64(_SLOTS - 1)).astype(np.int64)]
+                first = hashes[np.lexsort((hashes, rank))]
+                probe = n - int(np.ceil(similarity * n - 1e-9)) + 1
+                index = n - int(np.ceil(2 * similarity / (1 + similarity) * n - 1e-9)) + 1
+                first = first[:probe].view(np.int64)
+                row.append(np.full(len(first), i))
+                sizes.append(np.full(len(first), n))
+                buckets.append(first)
+                places.append(np.arange(len(first)))
+                indexed.append(np.arange(len(first)) < index)
+            if row:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(np.concatenate(row), pa.int64())).cast(pa.binary()),
+                        pa.array(np.concatenate(sizes), pa.int64()),
+                        pa.array(np.concatenate(buckets), pa.int64()),
+                        pa.array(np.concatenate(places), pa.int64()),
+                        pa.array(np.concatenate(indexed), pa.bool_()),
+                    ],
+                    names=["key", "kmers", "bucket", "place", "indexed"],
+                )
+
+    return texts.select("key", "text").mapInArrow(
+        run, "key binary, kmers long, bucket long, place long, indexed boolean"
+    )
+
+
+def possible_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(key, head) of all texts of different components that can be similar, from
+    ``rare_kmers`` with the component.
+
+    At the first k-mer that two texts share, what is left of either bounds what
+    they can have in common. The fullest component of a bucket is not compared
+    with itself.
+    """
+    shares = rows.groupBy("bucket", "component").agg(
+        F.count("*").alias("n"), F.max("indexed").alias("indexed")
+    )
+    mixed = (
+        shares.groupBy("bucket")
+        .agg(
+            F.count("*").alias("components"),
+            F.max("indexed").alias("any_indexed"),
+            F.max(F.struct("n", "component")).alias("most"),
+        )
+        .filter((F.col("components") > 1) & F.col("any_indexed"))
+        .select("bucket", F.col("most.component").alias("main"))
+    )
+    sides = materialise(rows.join(mixed, "bucket"), "rare-buckets")
+    other = sides.select(
+        "bucket",
+        F.col("key").alias("head"),
+        F.col("component").alias("head_component"),
+        F.col("kmers").alias("head_kmers"),
+        F.col("place").alias("head_place"),
+        F.col("indexed").alias("head_indexed"),
+    )
+    left = sides.filter(F.col("component") != F.col("main")).alias("a")
+    right = other.alias("b")
+    most = F.least(F.col("kmers") - F.col("place"), F.col("head_kmers") - F.col("head_place"))
+    can = (
+        (F.col("a.bucket") == F.col("b.bucket"))
+        & (F.col("component") != F.col("head_component"))
+        & (
+            (F.col("indexed") & (F.col("kmers") <= F.col("head_kmers")))
+            | (F.col("head_indexed") & (F.col("head_kmers") <= F.col("kmers")))
+        )
+        & (
+            most * F.lit((1 + similarity) / similarity)
+            >= F.col("kmers") + F.col("head_kmers") - F.lit(1e-6)
+        )
+    )
+    return (
+        left.join(right, can)
+        .select(F.least("key", "head").alias("key"), F.greatest("key", "head").alias("head"))
+        .distinct()
+    )
+
+
 def _with_component(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return rows.withColumn("component", F.col("key"))
@@ -321,9 +446,11 @@ def text_classes(
     with one head, the one whose buckets are fullest, so a group of n copies
     takes n comparisons, not n * n. Buckets in which several components remain
     are split by a second and a third sketch, with new heads, so texts far from
-    the first head still meet those close to them. No bucket is cut off.
+    the first head still meet those close to them. All texts of first buckets
+    that still hold several components after that are compared by
+    ``possible_pairs``, so every similar pair with an equal sketch is linked.
     """
-    texts = labels = tested = None
+    texts = labels = tested = shared = None
     rows = nodes.select("key", F.posexplode("sketch").alias("top", "bucket"))
     for level in range(levels):
         rows = materialise(_with_component(rows, labels), "bucket-rows")
@@ -331,6 +458,7 @@ def text_classes(
         active = materialise(rows.join(mixed, "bucket"), "shared-buckets")
         if texts is None:
             texts = texts_of(active.select("key").distinct())
+            shared = active.select("key", "bucket")
         fullness = active.groupBy("key").agg(F.sum("n").alias("fullness"))
         heads = (
             active.join(fullness, "key")
@@ -384,6 +512,17 @@ def text_classes(
                 F.col("next").alias("top"),
                 F.xxhash64("bucket", "value").alias("bucket"),
             )
+    left_over = materialise(_with_component(shared, labels), "left-over")
+    unsettled = left_over.join(_mixed(left_over).select("bucket"), "bucket", "left_semi")
+    unsettled = materialise(unsettled.select("key", "component").distinct(), "unsettled")
+    if not unsettled.isEmpty():
+        some = materialise(texts.join(unsettled, "key"), "unsettled-texts")
+        rare = rare_kmers(some, kmer_ranks(some, k), similarity, k)
+        rare = materialise(rare.join(unsettled, "key"), "rare-kmers")
+        pairs = materialise(possible_pairs(rare, similarity), "pairs")
+        found = materialise(confirm(pairs, some.select("key", "text"), similarity, k), "confirmed")
+        if not found.isEmpty():
+            labels = components(found) if labels is None else _merge_labels(labels, found)
     empty = nodes.select("key", F.col("key").alias("component")).limit(0)
     return empty if labels is None else labels
 

@@ -150,3 +150,31 @@ def test_short_texts_and_case():
 def test_empty_table(no_docs):
     assert near_duplicates(no_docs).count() == 0
     assert keep_one_of_each(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("shared", [75, 80])
+def test_pairs_among_texts_that_share_a_passage(spark, shared):
+    """1,000 texts of 100 k-mers, most of them of one passage; each has one copy
+    with the last words changed, and none is near any other."""
+    rng = random.Random(shared)
+    passage = [f"p{i}" for i in range(shared + 4)]
+    texts = []
+    for i in range(500):
+        own = [f"o{i}x{j}" for j in range(100 - shared)]
+        other = own[:-11] + [f"c{i}x{j}" for j in range(11)]
+        texts += [passage + own, passage + other]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    # Brute force over the k-mer sets; alignment only for pairs that pass.
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    number = {kmer: i for i, kmer in enumerate(set().union(*sets))}
+    cells = np.zeros((len(sets), len(number)), np.float32)
+    for i, kmers in enumerate(sets):
+        cells[i, [number[kmer] for kmer in kmers]] = 1
+    both, size = cells @ cells.T, cells.sum(axis=1)
+    near = both / (size[:, None] + size[None, :] - both) >= 0.8
+    pairs = [(a, b) for a, b in np.argwhere(near).tolist() if a < b and similar(rows[a][1], rows[b][1])]
+    assert len(pairs) == 500
+    wanted = {doc: (min(pair), 2) for pair in pairs for doc in pair}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert classes_of(near_duplicates(docs)) == wanted
