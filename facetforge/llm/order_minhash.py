@@ -26,8 +26,9 @@ K = 5  # words in a k-mer
 SIMILARITY = 0.8  # of k-mer sets, and of the aligned words
 SKETCHES = 16
 MINIMA = 3  # k-mers in a sketch
-# Sketches (of SKETCHES) that a candidate shares at least; texts of similarity
-# 0.8 share 8 on average.
+# Sketches (of SKETCHES) that a text shares at least with a head it is compared
+# with; texts of similarity 0.8 share 8 on average. Those that share fewer are
+# left to the last step, which compares them by exact bounds.
 AGREEING = 3
 # How many sketches at most are combined to split mixed buckets.
 LEVELS = 3

@@ -178,3 +178,16 @@ def test_pairs_among_texts_that_share_a_passage(spark, shared):
     wanted = {doc: (min(pair), 2) for pair in pairs for doc in pair}
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert classes_of(near_duplicates(docs)) == wanted
+
+
+def test_similar_texts_that_share_few_sketches(spark):
+    """Pairs of 9 words and the first 8 of them, of similarity 0.8 exactly: all
+    that share a sketch are linked."""
+    texts = [[f"w{i}x{j}" for j in range(9)] for i in range(1500)]
+    shares = [
+        len(np.intersect1d(*(order_sketches(kmer_hashes(w)) for w in (t, t[:8])))) for t in texts
+    ]
+    assert sum(0 < n < 3 for n in shares) >= 5
+    rows = [(2 * i + j, " ".join(t[: 9 - j])) for i, t in enumerate(texts) for j in (0, 1)]
+    found = classes_of(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert found == {d: (d - d % 2, 2) if shares[d // 2] else (d, 1) for d, _ in rows}
