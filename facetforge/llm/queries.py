@@ -16,8 +16,12 @@ from facetforge.llm import (
     line_dedup,
     order_minhash,
     page_templates,
+    periodic_runs,
+    sharding,
     source_mixing,
+    token_links,
 )
+from facetforge.llm.common import plain_text
 from facetforge.storage import materialise
 
 
@@ -218,6 +222,49 @@ def op10_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(docs, digests=True, edit=("doc_id", periodic_runs.plant_tail))
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        F.col("runs").alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_links.link_tokens(docs, digests=True).select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = plain_text("text")
+    return sharding.shard_documents(docs).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -229,6 +276,9 @@ QUERIES = {
     "op8_licence_scan": op8_licence_scan,
     "op9_order_minhash": op9_order_minhash,
     "op10_credential_links": op10_credential_links,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_links": op12_token_links,
+    "op13_sharding": op13_sharding,
 }
 
 SQL = {
