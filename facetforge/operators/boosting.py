@@ -21,6 +21,7 @@ from pyspark.storagelevel import StorageLevel
 from facetforge.config import BoostSettings, ClassificationTask
 from facetforge.functions.columns import column
 from facetforge.operators.encoding import (
+    MAX_LOCAL_CATEGORIES,
     as_categories,
     encode,
     encoder,
@@ -100,13 +101,16 @@ class TrainingSet:
         self.rows.unpersist()
 
 
-def prepare_training(df: DataFrame, task: ClassificationTask) -> TrainingSet:
+def prepare_training(
+    df: DataFrame, task: ClassificationTask, local_limit: int = MAX_LOCAL_CATEGORIES
+) -> TrainingSet:
     """Vocabulary, encoder and encoded rows. The input is scanned once: both the
-    vocabulary and the training rows start from the stored distinct rows."""
+    vocabulary and the training rows start from the stored distinct rows. More
+    categories than ``local_limit`` raise VocabularyTooLarge."""
     enable_checkpoints(df.sparkSession)
     attributes = feature_columns(df, task)
     compact = materialise(distinct_rows(with_label(df, task), attributes), "training-rows")
-    vocabulary = fit_vocabulary(compact, attributes, weight="weight")
+    vocabulary = fit_vocabulary(compact, attributes, "weight", local_limit)
     preparation = encoder(compact, vocabulary)
     prepared = encode(compact, preparation, attributes, ("label", "features", "weight"))
     count = compact.count()

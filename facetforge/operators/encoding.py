@@ -68,6 +68,10 @@ def as_categories(df: DataFrame, attributes: Sequence[str]) -> DataFrame:
     return df.withColumns({a: column(a).cast("string") for a in attributes})
 
 
+class VocabularyTooLarge(ValueError):
+    """More categories than label lists on the driver may hold."""
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     attributes: tuple[str, ...]
@@ -144,10 +148,10 @@ def fit_vocabulary(
 
 def _label_lists(vocabulary: Vocabulary) -> dict[str, list[str]]:
     if not vocabulary.is_local():
-        raise ValueError(
+        raise VocabularyTooLarge(
             f"{vocabulary.width} categories with {vocabulary.text_bytes} bytes are too many for a "
             f"reusable encoder with local label lists (at most {vocabulary.local_limit} and "
-            f"{MAX_LOCAL_BYTES}); use encode_rows, or leave out the largest attributes: "
+            f"{MAX_LOCAL_BYTES}); use encode_rows and wide_boosting, or leave out the largest attributes: "
             f"{vocabulary.sizes}"
         )
     labels: dict[str, list[str]] = {a: [] for a in vocabulary.attributes}

@@ -129,25 +129,32 @@ def holdout_split(
     return df.filter(draw >= holdout), df.filter(draw < holdout)
 
 
+def group_folds(df: DataFrame, group: Sequence[str], folds: int, seed: int = 7) -> DataFrame:
+    """Add ``fold``, from 0 on, by a hash of the group's columns: rows of one group
+    are in one fold, so none of it is trained on while the rest is judged."""
+    draw = key_fraction(seed, *[column(c) for c in group])
+    return df.withColumn("fold", F.floor(draw * F.lit(folds)).cast("int"))
+
+
 def cross_validate(
     df: DataFrame,
     task: ClassificationTask,
     settings: BoostSettings,
     depths: Sequence[int],
     folds: int = 3,
+    group: Sequence[str] | None = None,
 ) -> tuple[DataFrame, CrossValidatorModel]:
     """Mean hold-out AUC per tree depth over ``folds`` folds.
 
-    Rows fall into folds by a hash of their keys and are then reduced to weighted
-    distinct rows per fold.
+    Rows fall into folds by a hash of their keys, or of ``group``, and are then
+    reduced to weighted distinct rows per fold.
     """
     spark = df.sparkSession
     enable_checkpoints(spark)
-    if not task.keys:
+    if not (group or task.keys):
         raise ValueError("cross validation needs key columns to assign folds")
     attributes = feature_columns(df, task)
-    fold = F.floor(key_fraction(settings.seed, *[column(k) for k in task.keys]) * F.lit(folds))
-    labelled = with_label(df, task).withColumn("fold", fold.cast("int"))
+    labelled = group_folds(with_label(df, task), group or task.keys, folds, settings.seed)
     compact = materialise(distinct_rows(labelled, attributes, ["fold"]), "fold-rows")
     vocabulary = fit_vocabulary(compact, attributes, weight="weight")
     prepared = encode(

@@ -17,6 +17,12 @@ from facetforge.operators.boosting import (
 )
 from facetforge.operators.delivery import LoadResult, load_documents
 from facetforge.operators.documents import vector_documents
+from facetforge.operators.encoding import (
+    MAX_LOCAL_CATEGORIES,
+    VocabularyTooLarge,
+    feature_columns,
+    fit_vocabulary,
+)
 from facetforge.operators.metrics import (
     area_under_roc,
     confusion_matrix,
@@ -25,12 +31,18 @@ from facetforge.operators.metrics import (
     summary,
 )
 from facetforge.operators.runs import QUALITIES, PhaseTimer
+from facetforge.operators.wide_boosting import (
+    WideModel,
+    WideSettings,
+    fit_wide,
+    score_with_vectors,
+)
 from facetforge.storage import materialise
 
 
 @dataclass(frozen=True)
 class ClassificationRun:
-    model: PipelineModel
+    model: PipelineModel | WideModel
     scored: DataFrame
     confusion: DataFrame
     metrics: DataFrame
@@ -53,6 +65,7 @@ def run_classification(
     target: DocumentTarget | None = None,
     run: str = "run",
     holdout: float = 0.0,
+    local_limit: int = MAX_LOCAL_CATEGORIES,
 ) -> ClassificationRun:
     """The whole job, with each phase materialised and timed.
 
@@ -60,24 +73,37 @@ def run_classification(
     With it, that share of the rows (chosen by key) is kept from training and
     the evaluation uses only them. All rows are scored either way, and scored
     rows are written once: evaluation and loading read the written table.
+
+    With more categories than ``local_limit``, the trees are those of
+    ``wide_boosting``, and vectors are made by joins; the columns are the same.
     """
     timer = PhaseTimer(run)
     training = holdout_split(table, task.keys, holdout)[0] if holdout else table
     with timer.phase("prepare"):
-        prepared = prepare_training(training, task)
-    try:
+        try:
+            prepared, vocabulary = prepare_training(training, task, local_limit), None
+        except VocabularyTooLarge:
+            attributes = feature_columns(training, task)
+            prepared, vocabulary = None, fit_vocabulary(training, attributes, None, local_limit)
+    if prepared is None:
         with timer.phase("train"):
-            model = fit_trees(prepared, settings)
-    finally:
-        prepared.release()
-    with timer.phase("predict"):
-        # Few distinct training rows mean few attribute combinations to score.
-        few = prepared.distinct_rows <= MAX_LOCAL_COMBINATIONS
-        # Training has seen every combination if it left out no row.
-        seen = None if holdout or task.null_label == "drop" else prepared.combinations
-        scored = materialise(
-            score(table, model, task, by_combination=few, combinations=seen), "scored"
-        )
+            model = fit_wide(training, task, WideSettings(settings))
+        with timer.phase("predict"):
+            scored = materialise(score_with_vectors(table, model, task, vocabulary), "scored")
+    else:
+        try:
+            with timer.phase("train"):
+                model = fit_trees(prepared, settings)
+        finally:
+            prepared.release()
+        with timer.phase("predict"):
+            # Few distinct training rows mean few attribute combinations to score.
+            few = prepared.distinct_rows <= MAX_LOCAL_COMBINATIONS
+            # Training has seen every combination if it left out no row.
+            seen = None if holdout or task.null_label == "drop" else prepared.combinations
+            scored = materialise(
+                score(table, model, task, by_combination=few, combinations=seen), "scored"
+            )
     with timer.phase("evaluate"):
         judged = holdout_split(scored, task.keys, holdout)[1] if holdout else scored
         # One pass over the scored rows serves both the matrix and the AUC.

@@ -7,11 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from facetforge.plans.queries import documents, evaluation, features, runs, tables
+from facetforge.plans.queries import documents, evaluation, features, runs, search, tables, wide
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_AREAS = (tables, features, evaluation, documents, runs)
+_AREAS = (tables, features, evaluation, documents, runs, search, wide)
 
 
 def all_queries() -> dict[str, Query]:
