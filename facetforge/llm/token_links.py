@@ -19,7 +19,6 @@ import json
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -42,7 +41,7 @@ PART_PAIRS = 1 << 16
 # Partial counts that a task holds before it writes them.
 HELD_PAIRS = 1 << 20
 # Chunks of text that a task remembers, and the longest that it does.
-HELD_CHUNKS, HELD_CHARS = 150_000, 48
+HELD_CHUNKS, HELD_CHARS = 300_000, 48
 # Documents looked up together.
 SLICE_ROWS = 512
 # Links that are listed at once.
@@ -99,6 +98,10 @@ class TokenizerPair:
             bytes([int(m[1], 16)]) if (m := byte.fullmatch(p)) else p.replace("▁", " ").encode()
             for p in pieces
         ]
+        size = max(max(self.a_bytes), self.n_b - 1) + 1
+        self._a_long = [len(self.a_bytes.get(i, b"")) for i in range(size)]
+        self._b_long = [len(raw) for raw in self.b_bytes]
+        self._names = [str(i) for i in range(size)]
         apart = not any(re.search("[^▁]▁|\n", p) for p in pieces)
         self._chunk = re.compile(r"(?<=\S)(?=[ \n]\S)") if apart else None
         self._simple = re.compile(r"[ \n]\S+")
@@ -135,36 +138,56 @@ class TokenizerPair:
             out.append((a, b))
         return out
 
-    def groups(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]]:
-        """The ids of both in each group."""
-        a_ends = list(accumulate(len(self.a_bytes[i]) for i in a))
-        b_ends = list(accumulate(len(self.b_bytes[i]) for i in b))
-        b_place = {end: j + 1 for j, end in enumerate(b_ends)}
-        out, i, j = [], 0, 0
-        for stop, end in enumerate(a_ends, 1):
-            other = b_place.get(end)
-            if other is not None:
-                out.append((a[i:stop], b[j:other]))
-                i, j = stop, other
-        return out
-
-    def links(self, groups: list[tuple[list[int], list[int]]]) -> Iterator[np.ndarray]:
-        """The keys of all links, in arrays of bounded length."""
-        small: list[int] = []
-        for a, b in groups:
-            if len(a) * len(b) <= 256:
-                small += [i * self.n_b + j for i in a for j in b]
-                if len(small) >= LISTED_LINKS:
-                    yield np.array(small, np.int64)
-                    small = []
+    def cuts(self, a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
+        """For each group, where its ids of A begin and end, and those of B."""
+        long, wide, out = self._a_long, self._b_long, []
+        i = j = 1
+        first_i = first_j = 0
+        at, other, n = long[a[0]], wide[b[0]], len(a)
+        while True:
+            if at == other:
+                out.append((first_i, i, first_j, j))
+                if i == n:
+                    return out
+                first_i, first_j = i, j
+                at, other = at + long[a[i]], other + wide[b[j]]
+                i, j = i + 1, j + 1
+            elif at < other:
+                at, i = at + long[a[i]], i + 1
+            else:
+                other, j = other + wide[b[j]], j + 1
+
+    def links(self, a: list[int], b: list[int], cuts: list[tuple]) -> Iterator[list[int] | np.ndarray]:
+        """The keys of all links, in pieces of bounded length."""
+        n, small = self.n_b, []
+        for i, k, j, m in cuts:
+            if k - i == 1 == m - j:
+                small.append(a[i] * n + b[j])
+            elif (k - i) * (m - j) <= 256:
+                small += [x * n + y for x in a[i:k] for y in b[j:m]]
             else:
-                right = np.array(b, np.int64)
-                step = max(1, LISTED_LINKS // len(b))
-                for first in range(0, len(a), step):
-                    left = np.array(a[first : first + step], np.int64)
-                    yield (left[:, None] * self.n_b + right[None, :]).ravel()
+                right = np.array(b[j:m], np.int64)
+                step = max(1, LISTED_LINKS // len(right))
+                for first in range(i, k, step):
+                    left = np.array(a[first : min(k, first + step)], np.int64)
+                    yield (left[:, None] * n + right[None, :]).ravel()
+            if len(small) >= LISTED_LINKS:
+                yield small
+                small = []
         if small:
-            yield np.array(small, np.int64)
+            yield small
+
+    def written(self, a: list[int], b: list[int], cuts: list[tuple]) -> str:
+        """The ids of all groups, as ``a1,a2|b1;a3|b2,b3``."""
+        name = self._names
+        return ";".join(
+            [
+                name[a[i]] + "|" + name[b[j]]
+                if k - i == 1 == m - j
+                else ",".join([name[x] for x in a[i:k]]) + "|" + ",".join([name[y] for y in b[j:m]])
+                for i, k, j, m in cuts
+            ]
+        )
 
 
 def _read(path: str | None, name: str) -> bytes:
@@ -186,10 +209,10 @@ def pair_maker(
     return lambda: TokenizerPair(*files.value, pattern)
 
 
-def _distinct_links(pair: TokenizerPair, tokens: tuple) -> tuple[int, ...]:
+def _distinct_links(pair: TokenizerPair, a: list[int], b: list[int]) -> tuple[int, ...]:
     found: set[int] = set()
-    for keys in pair.links(pair.groups(*tokens)):
-        found.update(np.unique(keys).tolist())
+    for keys in pair.links(a, b, pair.cuts(a, b)):
+        found.update(keys if isinstance(keys, list) else np.unique(keys).tolist())
     return tuple(found)
 
 
@@ -220,7 +243,7 @@ def partial_counts(texts: DataFrame, make: Callable[[], TokenizerPair]) -> DataF
                 split = [pair.chunks(t) if t else [] for t in texts[first : first + SLICE_ROWS]]
                 fresh = list({c for s in split for c in s if c not in known})
                 new = {
-                    c: None if t[0] is None else _distinct_links(pair, t)
+                    c: None if t[0] is None else _distinct_links(pair, *t)
                     for c, t in zip(fresh, pair.tokens(fresh), strict=True)
                 }
                 for chunks in split:
@@ -460,43 +483,38 @@ def _look_up(
         def describe(chunks: list[str]) -> tuple[np.ndarray, list[str]]:
             """Per chunk the sums (-1 in the first if its bytes differ), and its
             groups in writing."""
-            rows, texts, keys, owner = np.zeros((len(chunks), 7), np.int64), [], [], []
+            rows, texts, keys, owner, times = np.zeros((len(chunks), 7), np.int64), [], [], [], []
 
             def add() -> None:
-                if not keys:
-                    return
-                flat = np.concatenate(keys)
-                who = np.repeat(owner, [len(k) for k in keys])
+                flat = np.array(keys, np.int64)
+                who = np.repeat(np.array(owner, np.int64), times)
                 at = lookup.places(flat)
                 np.add.at(rows[:, 6], who, at == -2)
                 here = at >= 0
                 n, who, flat = count_of[at[here]], who[here], flat[here]
                 np.add.at(rows[:, 4], who, n == best_of[flat // pair.n_b])
                 np.add.at(rows[:, 5], who, n)
-                keys.clear()
-                owner.clear()
+                for held in (keys, owner, times):
+                    held.clear()
 
-            held = 0
             for c, (a, b) in enumerate(pair.tokens(chunks)):
                 if a is None:
                     rows[c, 0] = -1
                     texts.append("")
                     continue
-                groups = pair.groups(a, b)
-                rows[c, :4] = len(a), len(b), len(groups), sum(len(x) * len(y) for x, y in groups)
-                texts.append(
-                    ";".join(
-                        [",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups]
-                    )
-                )
-                for some in pair.links(groups):
-                    keys.append(some)
+                cuts = pair.cuts(a, b)
+                texts.append(pair.written(a, b, cuts))
+                links = 0
+                for some in pair.links(a, b, cuts):
+                    keys.extend(some)
                     owner.append(c)
-                    held += len(some)
-                    if held >= LISTED_LINKS:
+                    times.append(len(some))
+                    links += len(some)
+                    if len(keys) >= LISTED_LINKS:
                         add()
-                        held = 0
-            add()
+                rows[c, :4] = len(a), len(b), len(cuts), links
+            if keys:
+                add()
             return rows, texts
 
         for batch in batches:
