@@ -9,21 +9,22 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from facetforge.llm.common import map_in_arrow, without
+from facetforge.llm.common import map_in_arrow, quoted, without
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 # Texts above this many characters are cut into pieces of about this length.
 PIECE_CHARS = 16_384
 # Rows are handed on when their ids and bytes reach this size.
-OUTPUT_BYTES = 8 << 20
+OUTPUT_BYTES = 4 << 20
 
 # A single space between two characters that are no white space: what stands
 # before it ends there, and the space can only begin the next match.
@@ -62,6 +63,22 @@ def encode(encoding: tiktoken.Encoding, text: str) -> list[int]:
     return [i for piece in safe_pieces(text) for i in encoding.encode_ordinary(piece)]
 
 
+def encode_compact(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The same ids, four bytes each."""
+    parts = [
+        encoding.encode_to_numpy(piece, disallowed_special=()).astype(np.int32)
+        for piece in ([text] if len(text) <= PIECE_CHARS else safe_pieces(text))
+    ]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    """Arrays of numbers as one list array."""
+    ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
+    flat = np.concatenate(values) if values else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+
+
 def _slices(rows: Iterator[tuple[int, tuple, int]]) -> Iterator[list[tuple[int, tuple]]]:
     """Consecutive rows in lists of about OUTPUT_BYTES."""
     held, size = [], 0
@@ -75,13 +92,19 @@ def _slices(rows: Iterator[tuple[int, tuple, int]]) -> Iterator[list[tuple[int,
         yield held
 
 
-def _map_rows(df: DataFrame, source: str, fields: list[T.StructField], row_of) -> DataFrame:
+def _map_rows(
+    df: DataFrame, source: str, fields: list[T.StructField], row_of, keep: Sequence[str] | None = None
+) -> DataFrame:
     """Add ``fields`` computed from one column by ``row_of(values)``, an iterator
-    of (row, bytes). The output leaves in small batches whatever the input's."""
+    of (row, bytes). The output leaves in small batches whatever the input's. Of
+    the input, the columns in ``keep`` come back, all without it."""
     kept = without(df.schema, [f.name for f in fields])
+    if keep is not None:
+        kept = [f for f in kept if f.name in set(keep)]
     schema = T.StructType([*kept, *fields])
-    names, place = schema.names, df.columns.index(source)
-    keep_places = [df.columns.index(f.name) for f in kept]
+    df = df.select(*[quoted(f.name) for f in kept], quoted(source))
+    names, place = schema.names, len(kept)
+    keep_places = range(len(kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = row_of()
@@ -90,9 +113,10 @@ def _map_rows(df: DataFrame, source: str, fields: list[T.StructField], row_of) -
             for held in _slices(rows):
                 first = held[0][0]
                 old = [batch.column(k).slice(first, len(held)) for k in keep_places]
+                columns = [list(values) for values in zip(*(r for _, r in held), strict=True)]
                 new = [
-                    pa.array(values, kind)
-                    for values, kind in zip(zip(*(r for _, r in held), strict=True), kinds, strict=True)
+                    _lists(values) if kind is None else pa.array(values, kind)
+                    for values, kind in zip(columns, kinds, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays([*old, *new], names=names)
 
@@ -100,7 +124,7 @@ def _map_rows(df: DataFrame, source: str, fields: list[T.StructField], row_of) -
         T.StringType(): pa.string(),
         T.LongType(): pa.int64(),
         T.BinaryType(): pa.binary(),
-        T.ArrayType(T.IntegerType()): pa.list_(pa.int32()),
+        T.ArrayType(T.IntegerType()): None,
     }
     kinds = [arrow[f.dataType] for f in fields]
     return map_in_arrow(df, run, schema)
@@ -112,8 +136,10 @@ def encode_documents(
     ids_column: str = "ids",
     rank_file: str | None = None,
     pattern: str = public_tokenizers.PATTERN,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The rows with the ids of their text as array<int> in ``ids_column``.
+    """The rows with the ids of their text as array<int> in ``ids_column``; with
+    ``keep``, only these columns of the input, so that texts need not come back.
 
     Every match of the pattern is encoded by itself; texts like ``<|name|>`` are
     ordinary text. NULL and empty texts have no ids. A column already named
@@ -125,13 +151,13 @@ def encode_documents(
         encoding = encoding_of(ranks.value, pattern)
 
         def make(value):
-            ids = encode(encoding, value.as_py() or "")
-            return (ids,), 4 * len(ids)
+            ids = encode_compact(encoding, value.as_py() or "")
+            return (ids,), 4 * len(ids) + 64
 
         return make
 
     field = T.StructField(ids_column, T.ArrayType(T.IntegerType()))
-    return _map_rows(docs, text_column, [field], row_of)
+    return _map_rows(docs, text_column, [field], row_of, keep)
 
 
 def decode_documents(

@@ -36,6 +36,17 @@ def without(schema: T.StructType, names: Iterable[str]) -> list[T.StructField]:
     return [f for f in schema.fields if f.name.lower() not in gone]
 
 
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns named like any of ``names``, in any case, under
+    spare names, and the spare name of each column by its own."""
+    names = list(names)
+    taken = {n.lower() for n in names}
+    renamed: dict[str, str] = {}
+    for c in df.columns:
+        renamed[c] = spare_name(df, f"_own_{c}", renamed.values()) if c.lower() in taken else c
+    return df.select(*[quoted(c).alias(n) for c, n in renamed.items()]), renamed
+
+
 def plain_text(text: str) -> Column:
     """The text column as a string that is never NULL."""
     return F.coalesce(quoted(text).cast("string"), F.lit(""))

@@ -10,14 +10,14 @@ from __future__ import annotations
 import base64
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from facetforge.llm.common import as_text, map_in_arrow, plain_text, quoted, without
@@ -29,6 +29,8 @@ SMOOTHING = 0.1
 # Distinct words remembered by a task, in training and in scoring; older ones
 # are computed again.
 REMEMBERED_WORDS = 200_000
+# Bytes of the table of languages and pieces, which the driver and tasks hold.
+MAX_TABLE_BYTES = 256 << 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 # Texts scored together, in characters, and numbers in a table of words.
@@ -57,7 +59,16 @@ class LanguageModel:
     language. Its size is languages x vocabulary, whatever the corpus."""
 
     languages: tuple[str, ...]
-    pieces: dict[bytes, tuple[float, ...]]
+    pieces: Mapping[bytes, Sequence[float]]
+
+    def plain(self) -> tuple[tuple[str, ...], list[bytes], np.ndarray]:
+        """The model in values that need none of this package to be read."""
+        table = np.array(list(self.pieces.values()), np.float64)
+        return self.languages, list(self.pieces), table.reshape(len(self.pieces), len(self.languages))
+
+    @classmethod
+    def of(cls, languages: tuple[str, ...], pieces: list[bytes], table: np.ndarray) -> LanguageModel:
+        return cls(languages, dict(zip(pieces, table, strict=True)))
 
 
 class PieceTable:
@@ -68,7 +79,7 @@ class PieceTable:
     _START, _PRIME = np.uint64(0xCBF29CE484222325), np.uint64(0x100000001B3)
     _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
-    def __init__(self, pieces: dict[bytes, tuple[float, ...]], languages: int):
+    def __init__(self, pieces: Mapping[bytes, Sequence[float]], languages: int):
         self.longest = max(map(len, pieces), default=1)
         begins = {piece[:end] for piece in pieces for end in range(1, len(piece) + 1)}
         listed = sorted(begins, key=lambda x: (len(x), x))
@@ -203,6 +214,11 @@ class WordScorer:
         return found
 
 
+def has_letter(text_column: str = "text") -> Column:
+    """Whether the text has a letter, so that its language can be told."""
+    return plain_text(text_column).rlike(r"\p{L}")
+
+
 def fit_languages(
     docs: DataFrame,
     text_column: str = "text",
@@ -263,12 +279,14 @@ def fit_languages(
     lang_of, piece_of, n_of = totals.values()
     languages = tuple(sorted(set(lang_of)))
     size = max(numbers.values()) + 1
+    if 8 * size * len(languages) > MAX_TABLE_BYTES:
+        raise ValueError(f"{len(languages)} languages are too many for a table of {MAX_TABLE_BYTES} bytes")
     table = np.full((size, len(languages)), smoothing)
+    place = {lang: i for i, lang in enumerate(languages)}
     for lang, piece, n in zip(lang_of, piece_of, n_of, strict=True):
-        table[piece, languages.index(lang)] += n
+        table[piece, place[lang]] += n
     table /= table.sum(axis=0, keepdims=True) if languages else 1.0
-    listed = table.tolist()
-    return LanguageModel(languages, {piece: tuple(listed[i]) for piece, i in numbers.items()})
+    return LanguageModel(languages, {piece: table[i] for piece, i in numbers.items()})
 
 
 def _groups(column: pa.Array) -> Iterator[list[str]]:
@@ -295,13 +313,14 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text_column: str =
     but the text is looked at.
     """
     kept = without(docs.schema, ["lang_pred", "score"])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     schema = T.StructType([*kept, *fields])
-    names, place = schema.names, [f.name for f in kept].index(text_column)
+    names = schema.names
+    place = [f.name for f in kept].index(text_column)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = LanguageModel.of(*shared.value)
         scorer = WordScorer(model) if model.languages else None
         for batch in batches:
             found, scores = [], []

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from facetforge.llm.common import as_bytes, plain_text, quoted
+from facetforge.llm.common import as_bytes, plain_text, quoted, spare_name
 from facetforge.storage import materialise
 
 K = 5  # words in a k-mer
@@ -591,17 +591,19 @@ def keep_one_of_each(
     """The rows of ``docs`` without near duplicates: one row of each class stays,
     the one with the smallest id."""
     classes = near_duplicates(docs, id_column, text_column)
+    kept_id = spare_name(docs, "_kept_id")
+    kept_key = spare_name(docs, "_kept_key", [kept_id])
     kept = materialise(
         classes.filter("kept")
-        .groupBy(quoted(id_column).alias("_kept_id"), F.col("key").alias("_kept_key"))
-        .agg(F.count("*").alias("_copies")),
+        .groupBy(quoted(id_column).alias(kept_id), F.col("key").alias(kept_key))
+        .agg(F.count("*").alias("copies")),
         "kept",
     )
-    same = quoted(id_column).eqNullSafe(F.col("_kept_id")) & (
-        text_key(plain_text(text_column)) == F.col("_kept_key")
+    same = quoted(id_column).eqNullSafe(F.col(kept_id)) & (
+        text_key(plain_text(text_column)) == F.col(kept_key)
     )
-    left = docs.join(kept, same, "left_semi")
-    if kept.filter("_copies > 1").isEmpty():
+    left = docs.join(kept.select(kept_id, kept_key), same, "left_semi")
+    if kept.filter("copies > 1").isEmpty():
         return left
     # Repeated rows: equal id and text.
     return left.dropDuplicates([id_column, text_column])

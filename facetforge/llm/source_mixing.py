@@ -120,4 +120,5 @@ def mix_sources(
 def repeat_by_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Every document as often as ``copies`` says, with the given columns."""
     times = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
-    return mixed.select(*[quoted(c) for c in columns], times.alias("_again")).drop("_again")
+    again = spare_name(mixed, "_again", columns)
+    return mixed.select(*[quoted(c) for c in columns], times.alias(again)).drop(again)

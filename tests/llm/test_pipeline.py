@@ -1,7 +1,11 @@
 """The stages of the corpus pipeline on a small table, against plain Python."""
 
+import os
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -107,3 +111,74 @@ def test_empty_table(spark, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
         assert docs.count() == 0
+
+
+def test_no_labelled_row_keeps_every_text_with_a_letter(spark):
+    docs = spark.createDataFrame(
+        [(1, "Some text", None), (2, None, None), (3, "12 ² !", None), (4, "ß", None)],
+        "doc_id long, text string, lang string",
+    )
+    kept = corpus_pipeline.keep_known_language(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4]
+
+
+def test_missing_language_is_filled_in(spark):
+    rows = [(i, "der die und das haus ist gut", "de") for i in range(5)]
+    rows += [(10 + i, "the of and house is good water", "en") for i in range(5)]
+    rows += [(20, "das haus und die", None), (21, "the water of", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.keep_known_language(spark, docs, "").collect()}
+    assert kept == {i: lang for i, _, lang in rows if lang} | {20: "de", 21: "en"}
+
+
+CLASHING = ["lang_pred", "Score", "n_lines", "n_dropped", "size", "source_size", "target", "copies",
+            "_again", "_kept_id", "_kept_key", "_own_size", "key", "id"]
+
+
+def test_clashing_columns_repeated_rows_and_long_texts(spark):
+    long = " ".join(f"word{i % 7001}" for i in range(130_000))  # over a million characters
+    texts = [None, "", "Same text of some words again", "Same text of some words again", long,
+             "Other words stand in this one", "123"]
+    rows = [(i, t, "en", "s", *[f"{c}-{i}" for c in CLASHING]) for i, t in enumerate(texts)]
+    rows += [rows[5], rows[5]]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(
+        f"`{c}` string" for c in CLASHING
+    )
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == ["doc_id", "text", "lang", "source", *CLASHING]
+        for r in docs.collect():
+            assert [r[c] for c in CLASHING] == [f"{c}-{r['doc_id']}" for c in CLASHING]
+    assert {r["doc_id"] for r in docs.collect()} <= {2, 4, 5}
+    tokens = corpus_pipeline.tokenise(spark, docs, "")
+    encoding = encoding_of(rank_bytes())
+    for r in tokens.collect():
+        assert r["ids"] == encoding.encode_ordinary(texts[r["doc_id"]])
+
+
+BARE = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {shared!r}).getOrCreate())
+import corpus_pipeline
+from facetforge.llm import queries
+for name in ("op7_language_id", "op11_periodic_runs", "op12_token_links"):
+    assert queries.QUERIES[name](spark, {folder!r}).count() > 0, name
+docs = spark.read.parquet({folder!r} + "/documents.parquet")
+assert corpus_pipeline.STAGES[0][1](spark, docs, {folder!r}).count() > 0
+"""
+
+
+def test_workers_without_the_package(documents, tmp_path):
+    """Only the driver can import the package."""
+    root = str(Path(corpus_pipeline.__file__).resolve().parent)
+    script = tmp_path / "bare.py"
+    script.write_text(BARE.format(root=root, shared=str(tmp_path / "shared"), folder=documents))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("PYSPARK_GATEWAY")}
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
