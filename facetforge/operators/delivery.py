@@ -13,8 +13,11 @@ again adds nothing.
 from __future__ import annotations
 
 import logging
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any, Protocol
 
@@ -30,7 +33,7 @@ from facetforge.functions.columns import percent
 from facetforge.operators.documents import feature_array
 from facetforge.operators.ordering import running_totals
 from facetforge.sources.tables import DOCUMENT_SCHEMA, read_documents
-from facetforge.storage import materialise, partition_folder
+from facetforge.storage import delete_folder, materialise, move_files, partition_folder
 
 log = logging.getLogger(__name__)
 
@@ -173,6 +176,11 @@ def load_documents(
     Fallback and dead letters are added under the run; neither replaces anything,
     so ``documents`` may come from ``replay`` of the same paths.
 
+    Good documents are written once, to a folder of their own in the store, and
+    moved to the others when their ids are known to differ. A load that ends in
+    between leaves nothing that readers see, or adds its files again: with
+    "resume" only those whose ids are missing.
+
     ``documents`` is read a second time if some of them are bad, so it should
     come from a stored table, not from a long computation.
     """
@@ -215,49 +223,62 @@ def _load(
     )
     is_bad = F.col("error").isNotNull()
     marked = missing.withColumn("error", error)
-    marked, duplicates = _mark_duplicates(marked)
     # Both sides are counted in the pass that writes the good ones; without bad
     # documents there is no second pass.
     seen = Observation()
     counted = marked.observe(
         seen, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad")
     )
-    # Good documents all have the one tag, so they go straight to its folder.
-    good = counted.filter(~is_bad).drop("error", "dataset_type")
+    # Good documents all have the one tag. They are computed once, into a folder
+    # beside those of the tags that readers pass over; ids are looked at there.
+    spark = documents.sparkSession
     folder = partition_folder(store_path, "dataset_type", dataset_type)
-    good.write.mode("append").format(format).save(folder)
-    written, rejected = seen.get.get("good", 0), seen.get.get("bad", 0)
-    if rejected:
-        write_dead_letters(marked.filter(is_bad), dead_letter_path, run_id)
-    return LoadResult("loaded", written, rejected, store_path, duplicates)
+    staged = f"{store_path}/_staged-{uuid.uuid4().hex}"
+    extra = None
+    try:
+        good = counted.filter(~is_bad).drop("error", "dataset_type")
+        good.write.format(format).save(staged)
+        written, rejected = seen.get.get("good", 0), seen.get.get("bad", 0)
+        kept = spark.read.schema(good.schema).format(format).load(staged)
+        first, extra = _first_of_each_id(kept)
+        if extra is None:
+            move_files(spark, staged, folder)
+            duplicates = 0
+        else:
+            duplicates = extra.count()
+            written -= duplicates
+            first.write.mode("append").format(format).save(folder)
+            told = extra.withColumn("dataset_type", F.lit(dataset_type)).withColumn(
+                "error", F.lit("duplicate id")
+            )
+            write_dead_letters(told.select(*marked.columns), dead_letter_path, run_id)
+        if rejected:
+            write_dead_letters(marked.filter(is_bad), dead_letter_path, run_id)
+    finally:
+        delete_folder(spark, staged)
+    return LoadResult("loaded", written, rejected + duplicates, store_path, duplicates)
 
 
-def _mark_duplicates(marked: DataFrame) -> tuple[DataFrame, int]:
-    """Give all good documents of an id but one the error "duplicate id".
+def _first_of_each_id(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """One document of each id, and the others; None if no id repeats.
 
-    Ids are counted with partial sums, so an id with very many copies is no hot
-    group. Only if some id repeats, the documents are written out with a number
-    each, and the smallest number of an id is the one that stays.
+    Of the stored documents only the ids are read, and counted with partial sums,
+    so an id with very many copies is no hot group. Only if some id repeats, the
+    documents are numbered, and the smallest number of an id is the one that
+    stays.
     """
-    good = F.col("error").isNull()
-    counts = marked.filter(good).groupBy("id").agg(F.count("*").alias("copies"))
-    extra = counts.filter("copies > 1").agg(F.sum(F.col("copies") - 1)).first()[0]
-    if not extra:
-        return marked, 0
+    counts = documents.groupBy("id").agg(F.count("*").alias("copies"))
+    if counts.filter("copies > 1").isEmpty():
+        return documents, None
     numbered = materialise(
-        marked.withColumn("_number", F.monotonically_increasing_id()), "numbered-documents"
+        documents.withColumn("_number", F.monotonically_increasing_id()), "numbered-documents"
     )
-    first = (
-        numbered.filter(good)
-        .groupBy("id")
-        .agg(F.min("_number").alias("_number"))
-        .select("id", "_number", F.lit(True).alias("_first"))
+    first = numbered.groupBy("id").agg(F.min("_number").alias("_number"))
+    columns = [F.col(c) for c in documents.columns]
+    return (
+        numbered.join(first, ["id", "_number"], "left_semi").select(*columns),
+        numbered.join(first, ["id", "_number"], "left_anti").select(*columns),
     )
-    told = numbered.join(first, ["id", "_number"], "left").withColumn(
-        "error",
-        F.coalesce("error", F.when(F.col("_first").isNull(), F.lit("duplicate id"))),
-    )
-    return told.select(*marked.columns), extra
 
 
 def _divert(documents: DataFrame, fallback_path: str, run_id: str) -> LoadResult:
@@ -331,6 +352,46 @@ def send_batches(
             sleep(policy.pause_ms / 1000)
 
 
+@contextmanager
+def _told(
+    progress: Callable[[int, int], None] | None, seconds: float, state: Callable[[], tuple[int, int]]
+) -> Iterator[None]:
+    """Tell ``progress`` of every change of the state, from a thread of its own."""
+    if progress is None:
+        yield
+        return
+    ended, last = threading.Event(), [(0, 0)]
+
+    def tell() -> None:
+        now = state()
+        if now != last[0]:
+            last[0] = now
+            progress(*now)
+
+    def watch() -> None:
+        while not ended.wait(seconds):
+            tell()
+
+    thread = threading.Thread(target=watch, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        ended.set()
+        thread.join()
+        tell()
+
+
+def log_progress(total: int) -> Callable[[int, int], None]:
+    """A ``progress`` that logs documents sent and their share of ``total``."""
+
+    def tell(batches: int, documents: int) -> None:
+        share = f" ({100 * documents / total:.1f} %)" if total else ""
+        log.info("%d of %d documents stored in %d batches%s", documents, total, batches, share)
+
+    return tell
+
+
 def _outcome_schema(documents: DataFrame) -> T.StructType:
     failure = T.StructType([*documents.schema.fields, T.StructField("error", T.StringType())])
     return T.StructType(
@@ -351,6 +412,8 @@ def deliver(
     outcome_path: str,
     policy: DeliveryPolicy = DeliveryPolicy(),
     senders: int | None = None,
+    progress: Callable[[int, int], None] | None = None,
+    progress_seconds: float = 1.0,
 ) -> DataFrame:
     """Send documents to an external store; returns one row per batch.
 
@@ -361,6 +424,10 @@ def deliver(
     The outcome table is written as the documents are sent, so Spark's output
     commit keeps exactly one outcome per batch even when tasks are repeated.
     Repeated tasks upsert the same ids again, which changes nothing.
+
+    ``progress`` is called on the driver with the batches and documents sent so
+    far whenever more tasks have ended, looked for every ``progress_seconds``. A
+    repeated task counts again there; the exact totals are those of the outcomes.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -368,6 +435,8 @@ def deliver(
         documents = documents.repartition(senders, "id")
     schema = _outcome_schema(documents)
     arrow_schema = to_arrow_schema(schema)
+    context = documents.sparkSession.sparkContext
+    sent_batches, sent_documents = context.accumulator(0), context.accumulator(0)
 
     def send_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -383,13 +452,17 @@ def deliver(
                     "failed": len(done.failures),
                     "failures": [{**d, "error": why} for d, why in done.failures],
                 }
+                sent_batches.add(1)
+                sent_documents.add(done.succeeded)
                 yield pa.RecordBatch.from_pylist([line], schema=arrow_schema)
         finally:
             client.close()
 
     # An outcome table may hold the only copy of refused documents: an existing
     # one is an error, never replaced.
-    documents.mapInArrow(send_partition, schema).write.mode("errorifexists").parquet(outcome_path)
+    outcomes = documents.mapInArrow(send_partition, schema)
+    with _told(progress, progress_seconds, lambda: (sent_batches.value, sent_documents.value)):
+        outcomes.write.mode("errorifexists").parquet(outcome_path)
     return documents.sparkSession.read.schema(schema).parquet(outcome_path)
 
 

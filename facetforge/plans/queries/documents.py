@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetforge.config import ClassificationTask, DeliveryPolicy
-from facetforge.functions.columns import column, document_id, failed_document_json, percent
+from facetforge.functions.columns import column, document_id, failed_document_json
 from facetforge.operators.delivery import (
     deliver,
+    delivery_progress,
     delivery_totals,
     failed_documents,
     load_documents,
@@ -24,7 +25,9 @@ from facetforge.operators.delivery import (
     write_fallback,
 )
 from facetforge.operators.documents import long_vectors, vector_documents
-from facetforge.operators.ordering import batch_numbers, number_copies, running_totals
+from facetforge.operators.external import deliver_documents, deliver_staged, missing_in_store
+from facetforge.operators.ordering import batch_numbers, number_copies
+from facetforge.operators.replays import read_ledger, replay_once
 from facetforge.operators.similarity import nearest_documents
 from facetforge.plans.queries.common import table
 from facetforge.storage import fresh_path
@@ -243,6 +246,98 @@ def json_fallback_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_vectors(replay(spark, path), "id")
 
 
+class HoldsHalf:
+    """Store client that has the documents whose id begins with a digit below 8,
+    and takes all others but those predicted 0."""
+
+    def count(self, dataset_type: str, limit: int) -> int:
+        return limit
+
+    def existing(self, dataset_type: str, ids: list[str]) -> list[str]:
+        return [i for i in ids if i < "8"]
+
+    def upsert(self, documents: list[dict]) -> list[str | None]:
+        return ["refused" if d["prediction"] == 0.0 else None for d in documents]
+
+    def close(self) -> None:
+        pass
+
+
+class KeepsNothing(HoldsHalf):
+    """Stages and publishes without a trace."""
+
+    def stage(self, token: str, documents: list[dict]) -> list[str | None]:
+        return [None] * len(documents)
+
+    def publish(self, tokens: list[str]) -> None:
+        pass
+
+    def discard(self, prefix: str) -> None:
+        pass
+
+
+def _deliver_customers(spark: SparkSession, sf_dir: str, when_present: str) -> DataFrame:
+    """A delivery to a store that has the tag: what became of the documents."""
+    base = fresh_path(spark, "deliver")
+    result = deliver_documents(
+        customer_documents(spark, sf_dir), HoldsHalf, f"{base}/outcomes", f"{base}/fallback",
+        f"{base}/dead", "customers", "run-1", when_present, policy=NO_WAITING,
+    )
+    return _places(spark, base).filter("place <> 'store'").select(
+        "place",
+        "documents",
+        F.lit(result.status).alias("status"),
+        F.lit(result.sent).cast("bigint").alias("sent"),
+        F.lit(result.present).cast("bigint").alias("present"),
+    )
+
+
+def deliver_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only documents that the store lacks are sent; refused ones are dead letters."""
+    return _deliver_customers(spark, sf_dir, "resume")
+
+
+def deliver_diverted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store has the tag, so the documents go to the fallback."""
+    return _deliver_customers(spark, sf_dir, "divert")
+
+
+def deliver_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return missing_in_store(customer_documents(spark, sf_dir), HoldsHalf).select("id", "predicted_class")
+
+
+def staged_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a delivery in two phases."""
+    outcomes = deliver_staged(
+        customer_documents(spark, sf_dir), KeepsNothing, fresh_path(spark, "staged"), "run-1", NO_WAITING
+    )
+    totals = delivery_totals(outcomes, F.min("attempts").alias("least"), F.sum("batches").alias("sent"))
+    enough = F.col("sent") * 25 >= F.col("succeeded")
+    return totals.select("succeeded", "failed", enough.alias("within_limit"))
+
+
+def replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters replayed twice with a ledger, and more that came in between:
+    each file is loaded once."""
+    base = fresh_path(spark, "replays")
+    bad = split_documents(customer_documents(spark, sf_dir), in_debt())[1]
+    for run in ("first", "second", "third"):
+        if run != "second":
+            write_dead_letters(bad, f"{base}/dead", run)
+        replay_once(
+            spark, f"{base}/dead", f"{base}/ledger", run,
+            lambda documents: _load_customers(
+                documents, f"{base}/load", run, f"{base}/store", when_present="resume"
+            ),
+        )
+    stored = open_store(spark, f"{base}/store").agg(F.count("*").alias("documents"))
+    lines = read_ledger(spark, f"{base}/ledger").agg(
+        F.sum("documents").alias("replayed"), F.count_distinct("run_id").alias("runs")
+    )
+    # Two tables of one row each.
+    return stored.withColumn("one", F.lit(1)).join(lines.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 class RefusesDebtors:
     """Store client that keeps nothing and refuses documents predicted 0."""
 
@@ -282,8 +377,7 @@ def batch_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("batch_no")
         .agg(F.count_if(stored).alias("succeeded"), F.count_if(~stored).alias("failed"))
     )
-    done = running_totals(batches, [F.col("batch_no")], {"done": F.col("succeeded")})
-    return done.withColumn("percent_done", percent(F.col("done"), F.lit(orders.count())))
+    return delivery_progress(batches, F.lit(orders.count()), [F.col("batch_no")])
 
 
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +411,11 @@ QUERIES = {
     "json_fallback_roundtrip": json_fallback_roundtrip,
     "delivery_outcomes": delivery_outcomes,
     "delivery_failures": delivery_failures,
+    "deliver_resume": deliver_resume,
+    "deliver_diverted": deliver_diverted,
+    "deliver_missing": deliver_missing,
+    "staged_totals": staged_totals,
+    "replay_twice": replay_twice,
     "batch_number": batch_number,
     "batch_progress": batch_progress,
     "vector_topk": vector_topk,
@@ -414,6 +513,30 @@ SQL = {
         SELECT {_CUSTOMER_ID} AS id, 'in debt' AS predicted_class, 'refused' AS error
         FROM customer WHERE c_acctbal < 0
     """,
+    "deliver_resume": f"""
+        WITH d AS (SELECT {_CUSTOMER_ID} AS id, c_acctbal < 0 AS debtor FROM customer)
+        SELECT place, CASE place WHEN 'dead' THEN count(*) FILTER (debtor AND id >= '8') ELSE 0 END
+               AS documents, 'delivered' AS status,
+               count(*) FILTER (NOT debtor AND id >= '8') AS sent, count(*) FILTER (id < '8') AS present
+        FROM d, (VALUES ('fallback'), ('dead')) AS p(place) GROUP BY place
+    """,
+    "deliver_diverted": """
+        SELECT place, CASE place WHEN 'fallback' THEN count(*) ELSE 0 END AS documents,
+               'diverted' AS status, 0::BIGINT AS sent, 0::BIGINT AS present
+        FROM customer, (VALUES ('fallback'), ('dead')) AS p(place) GROUP BY place
+    """,
+    "deliver_missing": f"""
+        SELECT * FROM (SELECT {_CUSTOMER_ID} AS id,
+            CASE WHEN c_acctbal < 0 THEN 'in debt' ELSE 'in credit' END AS predicted_class
+            FROM customer) WHERE id >= '8'
+    """,
+    "staged_totals": """
+        SELECT count(*) AS succeeded, 0::BIGINT AS failed, true AS within_limit FROM customer
+    """,
+    "replay_twice": """
+        SELECT count(*) AS documents, (2 * count(*))::BIGINT AS replayed, 2::BIGINT AS runs
+        FROM customer WHERE c_acctbal < 0
+    """,
     "batch_number": """
         SELECT o_orderkey,
                CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 25 + 1 AS BIGINT) AS batch_no

@@ -75,6 +75,15 @@ def publish_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(orders.schema).parquet(path)
 
 
+def publish_self(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published, and then published again from what is left of itself."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    path = fresh_path(spark, "published")
+    publish(orders, path, "parquet")
+    publish(spark.read.parquet(path).filter(F.col("o_orderstatus") != "O"), path, "parquet")
+    return spark.read.schema(orders.schema).parquet(path)
+
+
 def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(table(spark, sf_dir, "orders"))
 
@@ -97,6 +106,7 @@ QUERIES = {
     "csv_corrupt_rows": csv_corrupt_rows,
     "headerless_ingest": headerless_ingest,
     "publish_overwrite": publish_overwrite,
+    "publish_self": publish_self,
     "profile_table": profile_table,
     "feature_profile": feature_profile,
     "first_orders": first_orders,
@@ -144,6 +154,9 @@ SQL = {
     "publish_overwrite": """
         SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'O'
     """,
+    "publish_self": """
+        SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'O'
+    """,
     "profile_table": _profile_sql(
         "orders",
         [

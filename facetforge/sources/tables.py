@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetforge.functions.columns import column
+from facetforge.storage import delete_folder, swap_folder
 
 DOCUMENT_SCHEMA = T.StructType(
     [
@@ -79,14 +82,38 @@ def attach_header(spark: SparkSession, raw_path: str, names: Sequence[str]) -> D
 
 def publish(
     df: DataFrame, path: str, format: str = "csv", partition_by: Sequence[str] = ()
-) -> None:
-    """Replace the table at ``path``; CSV output carries a header in every file."""
-    writer = df.write.mode("overwrite").format(format)
+) -> int:
+    """Replace the table at ``path``; CSV output carries a header in every file.
+    Returns the number of rows.
+
+    The table is written beside ``path`` and its rows are counted there; only then
+    it takes the place of the old one. A job that fails leaves the old table, and
+    a table may be published from itself. Between two renames there is no table
+    for a moment; where a store has no renames, readers should not read meanwhile.
+    """
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}._fresh-{uuid.uuid4().hex}"
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(format)
     if format == "csv":
         writer = writer.option("header", True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    try:
+        writer.save(fresh)
+        rows = seen.get.get("rows", 0)
+        if df.columns and rows:
+            # A row of CSV may span lines.
+            csv = {"header": True, "multiLine": True} if format == "csv" else {}
+            reader = spark.read.format(format).options(**csv)
+            found = reader.schema(df.schema).load(fresh).count()
+            if found != rows:
+                raise RuntimeError(f"{found} of {rows} rows were written")
+        swap_folder(spark, fresh, path.rstrip("/"))
+    except Exception:
+        delete_folder(spark, fresh)
+        raise
+    return rows
 
 
 def read_documents(spark: SparkSession, path: str | Sequence[str], format: str = "json") -> DataFrame:

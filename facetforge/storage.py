@@ -67,10 +67,53 @@ def temporary_copies(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCOPES.reset(token)
-        java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-            "/".join([_application_folder(spark), *scopes])
-        )
-        java.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(java, True)
+        delete_folder(spark, "/".join([_application_folder(spark), *scopes]))
+
+
+def _file_system(spark: SparkSession, path: str):
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return java, java.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    java, files = _file_system(spark, path)
+    files.delete(java, True)
+
+
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Rename the data files of one folder into another of the same file system.
+
+    Names that Spark gives to files are never used twice, so nothing is replaced.
+    """
+    start, files = _file_system(spark, source)
+    end, _ = _file_system(spark, target)
+    files.mkdirs(end)
+    for status in files.listStatus(start):
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        place = _file_system(spark, f"{target}/{name}")[0]
+        if not files.rename(status.getPath(), place):
+            raise OSError(f"could not move {status.getPath()} to {target}")
+    files.delete(start, True)
+
+
+def swap_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``. What was there is set
+    aside first and deleted last; it comes back if the second rename fails."""
+    new, files = _file_system(spark, fresh)
+    place, _ = _file_system(spark, path)
+    aside = None
+    if files.exists(place):
+        aside = _file_system(spark, f"{path}._replaced-{uuid.uuid4().hex}")[0]
+        if not files.rename(place, aside):
+            raise OSError(f"could not set {path} aside")
+    if not files.rename(new, place):
+        if aside is not None:
+            files.rename(aside, place)
+        raise OSError(f"could not move {fresh} to {path}")
+    if aside is not None:
+        files.delete(aside, True)
 
 
 # Characters that are written as %XX in partition folder names.
