@@ -19,6 +19,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
@@ -42,8 +43,8 @@ PART_PAIRS = 1 << 16
 HELD_PAIRS = 1 << 20
 # Chunks of text that a task remembers, and the longest that it does.
 HELD_CHUNKS, HELD_CHARS = 300_000, 48
-# Documents looked up together.
-SLICE_ROWS = 512
+# Documents looked up together, and new chunks aligned together.
+SLICE_ROWS, ALIGNED_CHUNKS = 512, 20_000
 # Links that are listed at once.
 LISTED_LINKS = 1 << 20
 
@@ -101,6 +102,7 @@ class TokenizerPair:
         size = max(max(self.a_bytes), self.n_b - 1) + 1
         self._a_long = [len(self.a_bytes.get(i, b"")) for i in range(size)]
         self._b_long = [len(raw) for raw in self.b_bytes]
+        self._a_width, self._b_width = np.array(self._a_long), np.array(self._b_long)
         self._names = [str(i) for i in range(size)]
         apart = not any(re.search("[^▁]▁|\n", p) for p in pieces)
         self._chunk = re.compile(r"(?<=\S)(?=[ \n]\S)") if apart else None
@@ -118,6 +120,11 @@ class TokenizerPair:
             return found
         return self._chunk.split(text)
 
+    def tokens_of(self, text: str) -> tuple[np.ndarray, list[int], bytes]:
+        """The ids of A and of B for a text that begins with a space, and its bytes."""
+        a = self._a.encode_to_numpy(text, disallowed_special=())
+        return a, self._b.encode(text[1:], num_threads=1), text.encode()
+
     def tokens(self, chunks: list[str]) -> list[tuple[list[int], list[int]]]:
         """The ids of A and of B for every chunk; none if the bytes differ."""
         encode = self._a.encode_ordinary
@@ -190,6 +197,143 @@ class TokenizerPair:
         )
 
 
+def _is_plain(chunk: str) -> bool:
+    """Whether the chunk may stand between other such chunks in one text."""
+    return (
+        1 < len(chunk) <= HELD_CHARS
+        and chunk[0] in " \n"
+        and not chunk[1].isspace()
+        and not chunk[-1].isspace()
+    )
+
+
+@dataclass
+class Aligned:
+    """Chunks and their links: in each row of ``counts`` n_a (-1 if the bytes
+    differ), n_b, n_groups and n_links; the keys of chunk i, and how often it has
+    them, stand from ``starts[i]`` on. ``written`` lists the groups if asked for."""
+
+    counts: np.ndarray
+    starts: np.ndarray
+    keys: np.ndarray
+    times: np.ndarray
+    written: list[str]
+
+    @classmethod
+    def none(cls) -> Aligned:
+        empty = np.zeros(0, np.int64)
+        return cls(np.zeros((0, 4), np.int64), np.zeros(1, np.int64), empty, empty, [])
+
+    def and_more(self, other: Aligned) -> Aligned:
+        return Aligned(
+            np.concatenate([self.counts, other.counts]),
+            np.concatenate([self.starts, other.starts[1:] + self.starts[-1]]),
+            np.concatenate([self.keys, other.keys]),
+            np.concatenate([self.times, other.times]),
+            self.written + other.written,
+        )
+
+
+def align(pair: TokenizerPair, chunks: list[str], written: bool) -> Aligned:
+    """Tokens, groups and links of the chunks."""
+    together = [i for i, c in enumerate(chunks) if _is_plain(c)]
+    found = _align_together(pair, [chunks[i] for i in together], written) if together else None
+    if found is not None and len(together) == len(chunks):
+        return found
+    # Chunks that do not go with others, or that have a large group.
+    apart = range(len(chunks))
+    if found is not None:
+        apart = sorted(set(apart).difference(together))
+    counts, texts = np.zeros((len(chunks), 4), np.int64), [""] * len(chunks)
+    owner, keys, times = [], [], []
+    if found is not None:
+        counts[together] = found.counts
+        for i, text in zip(together, found.written):
+            texts[i] = text
+        owner.append(np.repeat(np.array(together, np.int64), np.diff(found.starts)))
+        keys.append(found.keys)
+        times.append(found.times)
+    for i, (a, b) in zip(apart, pair.tokens([chunks[i] for i in apart]), strict=True):
+        if a is None:
+            counts[i, 0] = -1
+            continue
+        cuts = pair.cuts(a, b)
+        texts[i] = pair.written(a, b, cuts) if written else ""
+        for some in pair.links(a, b, cuts):
+            different, n = np.unique(np.asarray(some, np.int64), return_counts=True)
+            owner.append(np.full(len(different), i))
+            keys.append(different)
+            times.append(n)
+            counts[i, 3] += len(some)
+        counts[i, :3] = len(a), len(b), len(cuts)
+    flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (owner, keys, times)]
+    order = np.argsort(flat[0], kind="stable")
+    starts = np.searchsorted(flat[0][order], np.arange(len(chunks) + 1))
+    return Aligned(counts, starts, flat[1][order], flat[2][order], texts if written else [])
+
+
+def _align_together(pair: TokenizerPair, chunks: list[str], written: bool) -> Aligned | None:
+    """Plain chunks as one text, cut by both tokenizers at once; None if they must
+    be looked at one by one."""
+    # The first chunk takes the space that B puts before every text.
+    text = " a" + "".join(chunks)
+    a, b, raw = pair.tokens_of(text)
+    if b"".join(map(pair.b_bytes.__getitem__, b)) != raw:
+        return None
+    ends_a = np.cumsum(pair._a_width[a])
+    ids_b = np.array(b, np.int64)
+    ends_b = np.cumsum(pair._b_width[ids_b])
+    if ends_a[-1] != len(raw):
+        return None
+    sizes = [2, *(len(c) if c.isascii() else len(c.encode()) for c in chunks)]
+    chunk_ends = np.cumsum(sizes)
+    place = np.searchsorted(ends_b, ends_a)
+    shared = ends_b[place] == ends_a
+    stop_a, stop_b = np.flatnonzero(shared) + 1, place[shared] + 1
+    ends = ends_a[shared]
+    at = np.searchsorted(ends, chunk_ends)
+    if (ends[at] != chunk_ends).any():
+        return None
+    # Groups of the chunks; those of the first go.
+    skip = at[0] + 1
+    start_a, start_b = stop_a[skip - 1 : -1], stop_b[skip - 1 : -1]
+    wide_a, wide_b = stop_a[skip:] - start_a, stop_b[skip:] - start_b
+    n_links = wide_a * wide_b
+    if len(n_links) and n_links.max() > 256:
+        return None
+    n_groups = np.diff(at)
+    first_group = np.concatenate([[0], np.cumsum(n_groups)])
+    group = np.repeat(np.arange(len(n_links)), n_links)
+    ahead = np.concatenate([[0], np.cumsum(n_links)])
+    k = np.arange(ahead[-1]) - ahead[group]
+    i, j = start_a[group] + k // wide_b[group], start_b[group] + k % wide_b[group]
+    keys = a[i].astype(np.int64) * pair.n_b + ids_b[j]
+
+    def per_chunk(values: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(values)])
+        return total[first_group[1:]] - total[first_group[:-1]]
+
+    counts = np.stack(
+        [per_chunk(wide_a), per_chunk(wide_b), n_groups, per_chunk(n_links)], axis=1
+    )
+    texts: list[str] = []
+    if written:
+        name, listed = pair._names, a.tolist()
+        groups = [
+            name[listed[x]] + "|" + name[b[y]]
+            if n == 1 == m
+            else ",".join([name[q] for q in listed[x : x + n]])
+            + "|"
+            + ",".join([name[q] for q in b[y : y + m]])
+            for x, n, y, m in zip(
+                start_a.tolist(), wide_a.tolist(), start_b.tolist(), wide_b.tolist(), strict=True
+            )
+        ]
+        bounds = first_group.tolist()
+        texts = [";".join(groups[x:y]) for x, y in zip(bounds, bounds[1:])]
+    return Aligned(counts, ahead[first_group], keys, np.ones(len(keys), np.int64), texts)
+
+
 def _read(path: str | None, name: str) -> bytes:
     with open(path or public_tokenizers.path(name), "rb") as file:
         return file.read()
@@ -209,14 +353,34 @@ def pair_maker(
     return lambda: TokenizerPair(*files.value, pattern)
 
 
-def _distinct_links(pair: TokenizerPair, a: list[int], b: list[int]) -> tuple[int, ...]:
-    found: set[int] = set()
-    for keys in pair.links(a, b, pair.cuts(a, b)):
-        found.update(keys if isinstance(keys, list) else np.unique(keys).tolist())
-    return tuple(found)
+# -- first pass --------------------------------------------------------------
+
 
+def _remember(
+    pair: TokenizerPair, split: list[list[str]], number: dict[str, int], known: Aligned, written: bool
+) -> Aligned:
+    """Align the chunks that have no number yet, and number them."""
+    new = list({c for s in split for c in s if c not in number})
+    for first in range(0, len(new), ALIGNED_CHUNKS):
+        some = new[first : first + ALIGNED_CHUNKS]
+        number.update((c, len(known.counts) + i) for i, c in enumerate(some))
+        known = known.and_more(align(pair, some, written))
+    return known
 
-# -- first pass --------------------------------------------------------------
+
+def _places_of(split: list[list[str]], number: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, number of the chunk) of all chunks in order."""
+    sizes = [len(s) for s in split]
+    chunk = np.fromiter((number[c] for s in split for c in s), np.int64, sum(sizes))
+    return np.repeat(np.arange(len(split)), sizes), chunk
+
+
+def _forget_long(split: list[list[str]], number: dict[str, int]) -> None:
+    """Long chunks hardly come again; their texts need not be kept."""
+    for s in split:
+        for c in s:
+            if len(c) > HELD_CHARS:
+                number.pop(c, None)
 
 
 def partial_counts(texts: DataFrame, make: Callable[[], TokenizerPair]) -> DataFrame:
@@ -224,7 +388,8 @@ def partial_counts(texts: DataFrame, make: Callable[[], TokenizerPair]) -> DataF
     key is the id of A times B's number of ids, plus the id of B."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, known, counts = make(), {}, Counter()
+        pair, counts = make(), Counter()
+        number, known = {}, Aligned.none()
 
         def counted() -> Iterator[pa.RecordBatch]:
             keys = np.fromiter(counts.keys(), np.int64, len(counts))
@@ -241,25 +406,25 @@ def partial_counts(texts: DataFrame, make: Callable[[], TokenizerPair]) -> DataF
             texts = as_text(batch.column(0))
             for first in range(0, len(texts), SLICE_ROWS):
                 split = [pair.chunks(t) if t else [] for t in texts[first : first + SLICE_ROWS]]
-                fresh = list({c for s in split for c in s if c not in known})
-                new = {
-                    c: None if t[0] is None else _distinct_links(pair, *t)
-                    for c, t in zip(fresh, pair.tokens(fresh), strict=True)
-                }
-                for chunks in split:
-                    links: set[int] = set()
-                    for c in set(chunks):
-                        own = new[c] if c in new else known[c]
-                        if own is None:
-                            links.clear()
-                            break
-                        links.update(own)
-                    counts.update(links)
-                    if len(counts) >= HELD_PAIRS:
-                        yield from counted()
-                if len(known) + len(new) > HELD_CHUNKS:
-                    known.clear()
-                known.update((c, v) for c, v in new.items() if len(c) <= HELD_CHARS)
+                if len(known.counts) > HELD_CHUNKS:
+                    number, known = {}, Aligned.none()
+                known = _remember(pair, split, number, known, False)
+                doc, chunk = _places_of(split, number)
+                bad = np.bincount(doc, weights=known.counts[chunk, 0] < 0, minlength=len(split)) > 0
+                good = ~bad[doc]
+                # Different chunks of each text, then the different keys of each.
+                once = np.unique((doc[good] << 32) | chunk[good])
+                doc, chunk = once >> 32, once & 0xFFFFFFFF
+                n = known.starts[chunk + 1] - known.starts[chunk]
+                ahead = np.concatenate([[0], np.cumsum(n)])
+                at = np.repeat(known.starts[chunk] - ahead[:-1], n) + np.arange(ahead[-1])
+                links = np.unique((np.repeat(doc, n) << 32) | known.keys[at])
+                keys, n = np.unique(links & 0xFFFFFFFF, return_counts=True)
+                for key, more in zip(keys.tolist(), n.tolist()):
+                    counts[key] += more
+                _forget_long(split, number)
+                if len(counts) >= HELD_PAIRS:
+                    yield from counted()
         yield from counted()
 
     return texts.mapInArrow(run, "key long, n long")
@@ -474,77 +639,53 @@ def _look_up(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, lookup = make(), places()
         count_of, best_of = counts.value, best.value
-        # Chunks by number, with their sums and their groups in writing. The last
-        # sum is of links that were not counted: their chunks stand in texts only
-        # that have no tokens.
-        number: dict[str, int] = {}
-        sums, written = np.zeros((0, 7), np.int64), []
-
-        def describe(chunks: list[str]) -> tuple[np.ndarray, list[str]]:
-            """Per chunk the sums (-1 in the first if its bytes differ), and its
-            groups in writing."""
-            rows, texts, keys, owner, times = np.zeros((len(chunks), 7), np.int64), [], [], [], []
-
-            def add() -> None:
-                flat = np.array(keys, np.int64)
-                who = np.repeat(np.array(owner, np.int64), times)
-                at = lookup.places(flat)
-                np.add.at(rows[:, 6], who, at == -2)
-                here = at >= 0
-                n, who, flat = count_of[at[here]], who[here], flat[here]
-                np.add.at(rows[:, 4], who, n == best_of[flat // pair.n_b])
-                np.add.at(rows[:, 5], who, n)
-                for held in (keys, owner, times):
-                    held.clear()
-
-            for c, (a, b) in enumerate(pair.tokens(chunks)):
-                if a is None:
-                    rows[c, 0] = -1
-                    texts.append("")
-                    continue
-                cuts = pair.cuts(a, b)
-                texts.append(pair.written(a, b, cuts))
-                links = 0
-                for some in pair.links(a, b, cuts):
-                    keys.extend(some)
-                    owner.append(c)
-                    times.append(len(some))
-                    links += len(some)
-                    if len(keys) >= LISTED_LINKS:
-                        add()
-                rows[c, :4] = len(a), len(b), len(cuts), links
-            if keys:
-                add()
-            return rows, texts
+        number, known = {}, Aligned.none()
+        # Per chunk n_a, n_b, n_groups, n_links, n_best, count_sum, and links that
+        # were not counted: their chunks stand in texts only that have no tokens.
+        sums = np.zeros((0, 7), np.int64)
+
+        def looked_up(first: int) -> np.ndarray:
+            """The sums of the chunks from number ``first`` on."""
+            begin = known.starts[first]
+            rows = np.zeros((len(known.counts) - first, 7), np.int64)
+            rows[:, :4] = known.counts[first:]
+            keys, times = known.keys[begin:], known.times[begin:]
+            who = np.repeat(np.arange(len(rows)), np.diff(known.starts[first:]))
+            at = lookup.places(keys)
+            np.add.at(rows[:, 6], who, at == -2)
+            here = at >= 0
+            n, who, keys, times = count_of[at[here]], who[here], keys[here], times[here]
+            np.add.at(rows[:, 4], who, times * (n == best_of[keys // pair.n_b]))
+            np.add.at(rows[:, 5], who, times * n)
+            return rows
 
         for batch in batches:
             for first in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(first, SLICE_ROWS)
                 split = [pair.chunks(t) if t else [] for t in as_text(part.column(text_place))]
-                if len(written) > HELD_CHUNKS:
-                    number.clear()
-                    sums, written = sums[:0], []
-                new = list({c for s in split for c in s if c not in number})
-                rows, texts = describe(new)
-                number.update((c, len(written) + i) for i, c in enumerate(new))
-                sums = np.concatenate([sums, rows])
-                written.extend(texts)
+                if len(known.counts) > HELD_CHUNKS:
+                    number, known, sums = {}, Aligned.none(), sums[:0]
+                known = _remember(pair, split, number, known, True)
+                sums = np.concatenate([sums, looked_up(len(sums))])
+                doc, chunk = _places_of(split, number)
+                bad = np.bincount(doc, weights=sums[chunk, 0] < 0, minlength=len(split)) > 0
                 out = np.zeros((len(split), 7), np.int64)
-                listed = []
-                for r, chunks in enumerate(split):
-                    at = [number[c] for c in chunks]
-                    own = sums[at] if at else sums[:0]
-                    if not at or (own[:, 0] < 0).any():
+                if len(chunk):
+                    begins = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+                    out[doc[begins]] = np.add.reduceat(sums[chunk], begins)
+                out[bad] = 0
+                if out[:, 6].any():
+                    raise ValueError("a link that was not counted")
+                written, places_in_order, listed, at = known.written, chunk.tolist(), [], 0
+                for chunks, is_bad in zip(split, bad.tolist(), strict=True):
+                    own = places_in_order[at : at + len(chunks)]
+                    at += len(chunks)
+                    if is_bad or not own:
                         listed.append("")
                         continue
-                    out[r] = own.sum(axis=0)
-                    if out[r, 6]:
-                        raise ValueError("a link that was not counted")
-                    text = ";".join([written[i] for i in at])
+                    text = ";".join([written[i] for i in own])
                     listed.append(hashlib.sha256(text.encode()).hexdigest() if digests else text)
-                for c in new:
-                    if len(c) > HELD_CHARS:  # long chunks hardly come again
-                        written[number.pop(c)] = ""
+                _forget_long(split, number)
                 columns = [part.column(i) for i in keep_places]
                 if again:
                     old = [part.column(i) for i in old_places]
