@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from facetforge.config import BoostSettings, ClassificationTask
 from facetforge.functions.columns import key_fraction
+from facetforge.operators.encoding import category_counts, fit_vocabulary
 from facetforge.operators.metrics import group_folds
+from facetforge.operators.vocabulary_state import merge_vocabulary, vocabulary_drift
 from facetforge.operators.wide_boosting import (
     WideSettings,
     continue_rounds,
@@ -91,7 +93,32 @@ def grouped_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+GROWING = ("o_custkey", "o_orderstatus", "o_orderpriority")
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders that came first, and those that came later: by year."""
+    orders = table(spark, sf_dir, "orders")
+    late = F.year("o_orderdate") >= 2000
+    return orders.filter(~late), orders.filter(late)
+
+
+def vocabulary_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vocabulary of earlier orders, merged with the counts of later ones."""
+    early, late = _parts(spark, sf_dir)
+    stored = fit_vocabulary(early, GROWING)
+    return merge_vocabulary(stored.table, late, GROWING).table
+
+
+def vocabulary_drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    early, late = _parts(spark, sf_dir)
+    report = vocabulary_drift(category_counts(early, GROWING), category_counts(late, GROWING))
+    return report.withColumns({c: F.round(c, 6) for c in ("added_share", "distance")})
+
+
 QUERIES = {
+    "vocabulary_merge": vocabulary_merge,
+    "vocabulary_drift": vocabulary_drift_report,
     "trees_wide": trees_wide,
     "trees_wide_scores": trees_wide_scores,
     "trees_incremental": trees_incremental,
@@ -140,7 +167,36 @@ _TREE = """
                UNION ALL SELECT node, a, category, gain FROM lower)
 """
 
+_GROWING = """
+    WITH long AS (
+        SELECT year(o_orderdate) >= 2000 AS late, 'o_custkey' AS attribute,
+               CAST(o_custkey AS VARCHAR) AS category FROM orders
+        UNION ALL SELECT year(o_orderdate) >= 2000, 'o_orderstatus', o_orderstatus FROM orders
+        UNION ALL SELECT year(o_orderdate) >= 2000, 'o_orderpriority', o_orderpriority FROM orders),
+    n AS (SELECT attribute, category, count(*) FILTER (NOT late) AS old, count(*) FILTER (late) AS new
+          FROM long WHERE category IS NOT NULL GROUP BY attribute, category)
+"""
+
 SQL = {
+    "vocabulary_merge": _GROWING
+    + """
+        SELECT attribute, category, old + new AS n, CASE WHEN old > 0
+            THEN row_number() OVER (PARTITION BY attribute, old > 0 ORDER BY old DESC, category) - 1
+            ELSE row_number() OVER (PARTITION BY attribute, old > 0 ORDER BY new DESC, category) - 1
+                 + (SELECT count(*) FROM n m WHERE m.attribute = n.attribute AND m.old > 0)
+            END AS idx FROM n
+    """,
+    "vocabulary_drift": _GROWING
+    + """
+        , t AS (SELECT attribute, sum(old) AS all_old, sum(new) AS all_new FROM n GROUP BY attribute)
+        SELECT attribute, count(*) FILTER (old > 0) AS stored, count(*) FILTER (new > 0) AS seen,
+               count(*) FILTER (old = 0) AS added, count(*) FILTER (new = 0) AS missing,
+               round(coalesce(coalesce(sum(new) FILTER (old = 0), 0) / nullif(sum(new), 0), 0.0::DOUBLE), 6)
+                   AS added_share,
+               round(sum(abs(coalesce(old / nullif(all_old, 0), 0) - coalesce(new / nullif(all_new, 0), 0)))
+                     / 2, 6) AS distance
+        FROM n JOIN t USING (attribute) GROUP BY attribute
+    """,
     "trees_wide": _TREE
     + """
         SELECT CAST(node AS INTEGER) AS node,
