@@ -34,6 +34,9 @@ AGREEING = 3
 LEVELS = 3
 _CELLS = 1 << 20  # hashes computed at once
 _SLOTS = 1 << 20  # counters of k-mer frequencies; collisions only cost time
+# Words of 64 bits with the parities of the numbers of k-mers in hash cells.
+PARITY_WORDS = 4
+PARITIES = [f"parity_{i}" for i in range(PARITY_WORDS)]
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -286,11 +289,21 @@ def kmer_ranks(texts: DataFrame, k: int = K) -> np.ndarray:
     return ranks
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether each of 64 * PARITY_WORDS hash cells holds an odd number of the
+    different k-mers. A k-mer that only one of two texts has changes one parity,
+    so texts have at least as many such k-mers as their parities differ."""
+    cells = 64 * PARITY_WORDS
+    cell = (_mix(hashes ^ _STEP) % np.uint64(cells)).astype(np.int64)
+    odd = np.bincount(cell, minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def rare_kmers(
     texts: DataFrame, ranks: np.ndarray, similarity: float = SIMILARITY, k: int = K
 ) -> DataFrame:
-    """(key, kmers, bucket, place, indexed): the first k-mers of each text when
-    its k-mers are put in one order for all texts, rare ones first.
+    """(key, kmers, bucket, place, indexed, parities): the first k-mers of each
+    text when its k-mers are put in one order for all texts, rare ones first.
 
     Two similar texts share one of these, and the smaller text has it indexed: a
     pair that shares none of them has too few k-mers left to share.
@@ -298,7 +311,7 @@ def rare_kmers(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, sizes, buckets, places, indexed = [], [], [], [], []
+            row, sizes, buckets, places, indexed, odd = [], [], [], [], [], []
             for i, value in enumerate(batch.column(1)):
                 hashes = np.unique(kmer_hashes(words_of(value.as_py() or ""), k))
                 n = len(hashes)
@@ -314,6 +327,7 @@ def rare_kmers(
                 buckets.append(first)
                 places.append(np.arange(len(first)))
                 indexed.append(np.arange(len(first)) < index)
+                odd.append(np.tile(parities(hashes), (len(first), 1)))
             if row:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -322,12 +336,14 @@ def rare_kmers(
                         pa.array(np.concatenate(buckets), pa.int64()),
                         pa.array(np.concatenate(places), pa.int64()),
                         pa.array(np.concatenate(indexed), pa.bool_()),
+                        *[pa.array(x) for x in np.concatenate(odd).T],
                     ],
-                    names=["key", "kmers", "bucket", "place", "indexed"],
+                    names=["key", "kmers", "bucket", "place", "indexed", *PARITIES],
                 )
 
+    columns = "key binary, kmers long, bucket long, place long, indexed boolean, "
     return texts.select("key", "text").mapInArrow(
-        run, "key binary, kmers long, bucket long, place long, indexed boolean"
+        run, columns + ", ".join(f"{p} long" for p in PARITIES)
     )
 
 
@@ -336,8 +352,9 @@ def possible_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     ``rare_kmers`` with the component.
 
     At the first k-mer that two texts share, what is left of either bounds what
-    they can have in common. The fullest component of a bucket is not compared
-    with itself.
+    they can have in common, and the parities bound how many k-mers only one of
+    them has; both bounds are exact. The fullest component of a bucket is not
+    compared with itself.
     """
     shares = rows.groupBy("bucket", "component").agg(
         F.count("*").alias("n"), F.max("indexed").alias("indexed")
@@ -360,10 +377,12 @@ def possible_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         F.col("kmers").alias("head_kmers"),
         F.col("place").alias("head_place"),
         F.col("indexed").alias("head_indexed"),
+        *[F.col(p).alias(f"head_{p}") for p in PARITIES],
     )
     left = sides.filter(F.col("component") != F.col("main")).alias("a")
     right = other.alias("b")
     most = F.least(F.col("kmers") - F.col("place"), F.col("head_kmers") - F.col("head_place"))
+    apart = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"head_{p}"))) for p in PARITIES), F.lit(0))
     can = (
         (F.col("a.bucket") == F.col("b.bucket"))
         & (F.col("component") != F.col("head_component"))
@@ -375,6 +394,11 @@ def possible_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame
             most * F.lit((1 + similarity) / similarity)
             >= F.col("kmers") + F.col("head_kmers") - F.lit(1e-6)
         )
+        & (
+            apart
+            <= (F.col("kmers") + F.col("head_kmers")) * F.lit((1 - similarity) / (1 + similarity))
+            + F.lit(1e-6)
+        )
     )
     return (
         left.join(right, can)

@@ -13,6 +13,7 @@ from facetforge.llm.order_minhash import (
     label_occurrences,
     near_duplicates,
     order_sketches,
+    parities,
     similar,
     words_of,
 )
@@ -180,6 +181,20 @@ def test_pairs_among_texts_that_share_a_passage(spark, shared):
     assert classes_of(near_duplicates(docs)) == wanted
 
 
+def test_parities_never_rule_out_similar_texts():
+    rng = random.Random(11)
+    for _ in range(300):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(5, 300))]
+        other = list(words)
+        for _ in range(rng.randrange(1, 12)):
+            other[rng.randrange(len(other))] = f"x{rng.randrange(9)}"
+        a, b = (np.unique(kmer_hashes(w)) for w in (words, other))
+        differ = int(np.bitwise_count((parities(a) ^ parities(b)).view(np.uint64)).sum())
+        assert differ <= len(np.setxor1d(a, b))
+    far = [np.unique(kmer_hashes([f"{t}{i}" for i in range(150)])) for t in "ab"]
+    assert np.bitwise_count((parities(far[0]) ^ parities(far[1])).view(np.uint64)).sum() > 60
+
+
 def test_similar_texts_that_share_few_sketches(spark):
     """Pairs of 9 words and the first 8 of them, of similarity 0.8 exactly: all
     that share a sketch are linked."""
