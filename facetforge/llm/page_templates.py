@@ -67,6 +67,13 @@ _DROPPED_NAMES = frozenset(
     " nav navigation breadcrumb breadcrumbs footer masthead comment comments disqus share sharing"
     " social related popup modal overlay widget pagination pager".split()
 )
+# What such names are combined with, as in "site-footer" or "related-posts".
+_COMMON_NAMES = frozenset(
+    "box block wrap wrapper container area section list item items posts links link buttons"
+    " button bar inner outer top bottom left right site page global primary secondary fixed"
+    " sticky inline slot unit form panel col column mobile desktop header".split()
+)
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6", "section")
 _ROOTS = ("article", "main")
 _HOST = re.compile(r"(?i)^\s*[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
@@ -76,23 +83,36 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def _named_as_no_content(name: str) -> bool:
+    """Whether a class or id is made of names of no content, and of words that say
+    nothing else: "cookie-notice" is, "cookie-recipe" and "has-sidebar" are not."""
+    words = set(re.split("[^a-z0-9]+", name)) - {""}
+    return bool(words & _DROPPED_NAMES) and words <= _DROPPED_NAMES | _COMMON_NAMES
+
+
 class Element:
-    __slots__ = ("tag", "names", "gone", "kids", "key", "words", "chars", "link_chars")
+    __slots__ = (
+        "tag", "names", "gone", "named", "holds_root", "kids", "key", "words", "chars", "link_chars"
+    )
 
     def __init__(self, tag: str, attributes: list[tuple[str, str | None]] = ()):
         self.tag = tag
         given = dict(attributes)
         self.names = f"{given.get('class') or ''} {given.get('id') or ''}".lower().strip()
+        free = tag not in ("html", "body", *_ROOTS)
+        # Ids of headings and sections are made from their words.
+        names = self.names if tag not in _HEADINGS else (given.get("class") or "").lower()
+        self.named = free and any(map(_named_as_no_content, names.split()))
         self.gone = tag in _DROPPED_TAGS or (
-            tag not in ("html", "body", *_ROOTS)
+            free
             and (
-                bool(_DROPPED_NAMES.intersection(re.split("[^a-z0-9]+", self.names)))
-                or (given.get("role") or "").lower() in _DROPPED_ROLES
+                (given.get("role") or "").lower() in _DROPPED_ROLES
                 or "hidden" in given
                 or (given.get("aria-hidden") or "").lower() == "true"
                 or "display:none" in (given.get("style") or "").replace(" ", "").lower()
             )
         )
+        self.holds_root = False
         self.kids: list[Element | str] = []
         self.key = self.words = self.chars = self.link_chars = 0
 
@@ -104,9 +124,11 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.host, self.root = host, Element("#root")
         self.open = [self.root]
+        self.open_p = 0  # spares the search for one in deep trees
 
     def _end_top(self) -> None:
         done = self.open.pop()
+        self.open_p -= done.tag == "p"
         digest = xxhash.xxh3_64()
         digest.update(f"{self.host}\n{done.tag}\n{done.names}".encode("utf-8", "replace"))
         for kid in done.kids:
@@ -117,10 +139,13 @@ class _Page(HTMLParser):
                 if words:
                     digest.update(("\n" + " ".join(words)).encode("utf-8", "replace"))
             else:
+                done.holds_root = done.holds_root or kid.holds_root or kid.tag in _ROOTS
                 done.words += kid.words
                 done.chars += kid.chars
                 done.link_chars += kid.link_chars
                 digest.update(f"\n<{kid.key}>".encode())
+        # A name never drops what holds the page's content.
+        done.gone = done.gone or done.named and not done.holds_root
         if done.tag == "a":
             done.link_chars = done.chars
         done.key = digest.intdigest() - (1 << 63)
@@ -136,7 +161,7 @@ class _Page(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
-        if tag in _BLOCKS:
+        if tag in _BLOCKS and self.open_p:
             self._end_open(("p",), _P_STOPS + _ROOTS)
         if tag in _ENDS:
             self._end_open(*_ENDS[tag])
@@ -144,6 +169,7 @@ class _Page(HTMLParser):
         self.open[-1].kids.append(element)
         if tag not in _VOID:
             self.open.append(element)
+            self.open_p += tag == "p"
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)

@@ -39,6 +39,26 @@ def test_markup(html, text):
     assert text_of(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div class='content-sidebar-wrap'><main><p>a</p></main></div>", "a"),
+        ("<div class='sidebar'><main><p>a</p></main></div>", "a"),
+        ("<div class='has-sidebar'><article><p>a</p></article></div>", "a"),
+        ("<article><section id='related-work'><p>a</p></section><p>b</p></article>", "a\nb"),
+        ("<article><section id='social-history'><p>a</p></section></article>", "a"),
+        ("<article><h2 id='menu-of-the-day'>Soup</h2><p>a</p></article>", "Soup\na"),
+        ("<article><div class='cookie-recipe'><p>a</p></div></article>", "a"),
+        ("<article><div class='cookie-notice'>no</div><p>a</p></article>", "a"),
+        ("<article><ul class='related-posts'><li>no</ul><p id='comment'>no</p><p>a</p></article>", "a"),
+        ("<div id='site-footer'>no</div><p>a</p>", "a"),
+        ("<article><img class='ad'><p class='ad'>no</p>a</article>", "a"),
+    ],
+)
+def test_names_drop_only_what_they_fully_name(html, text):
+    assert text_of(html) == text
+
+
 def test_deep_nesting_needs_no_recursion():
     assert text_of("<div>" * 30_000 + "deep") == "deep"
 
