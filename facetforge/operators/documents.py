@@ -68,3 +68,24 @@ def vector_documents(
 def long_vectors(df: DataFrame, key: str, vector: str = "features", name: str = "value") -> DataFrame:
     """(key, pos, value): one row per vector element."""
     return df.select(column(key), F.posexplode(feature_array(df, vector)).alias("pos", name))
+
+
+# How an ML vector is stored: type 0 is sparse, type 1 dense with values only.
+_STORED_VECTOR = "v struct<type:int,size:int,indices:array<int>,values:array<double>>"
+
+
+def vector_entries(df: DataFrame, key: str, vector: str = "features", name: str = "value") -> DataFrame:
+    """(key, pos, value): one row per element that is not zero. A sparse vector
+    costs its entries only, however wide it is. NULL vectors have none."""
+    if not isinstance(df.schema[vector].dataType, VectorUDT):
+        return long_vectors(df, key, vector, name).filter(F.col(name) != 0)
+    # Spark has no expression that opens a sparse vector; its JSON does.
+    stored = F.from_json(F.to_json(F.struct(column(vector).alias("v"))), _STORED_VECTOR)["v"]
+    opened = df.select(column(key), stored.alias("_stored")).filter("_stored IS NOT NULL")
+    values = F.col("_stored.values")
+    count = F.size(values)
+    places = F.when(F.col("_stored.type") == 0, F.col("_stored.indices")).when(
+        count > 0, F.sequence(F.lit(0), count - 1)
+    )
+    entries = F.arrays_zip(places.alias("pos"), values.alias(name))
+    return opened.select(column(key), F.inline(entries)).filter(F.col(name) != 0)

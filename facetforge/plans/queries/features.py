@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from facetforge.config import ClassificationTask
 from facetforge.functions.columns import binary_label
-from facetforge.operators.documents import long_vectors
+from facetforge.operators.documents import long_vectors, vector_entries
 from facetforge.operators.encoding import (
     category_counts,
     encode,
@@ -88,8 +88,7 @@ def assembled_features_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     attributes = ["o_orderpriority", "o_custkey"]
     vocabulary = fit_vocabulary(orders, attributes, local_limit=SMALL_LIMIT)
-    vectors = long_vectors(encode_rows(orders, vocabulary, ["o_orderkey"]), "o_orderkey")
-    return vectors.filter("value <> 0")
+    return vector_entries(encode_rows(orders, vocabulary, ["o_orderkey"]), "o_orderkey")
 
 
 def unseen_category(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,15 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from facetforge.operators import encoding
+from facetforge.operators.documents import vector_entries
 from facetforge.operators.encoding import (
     encode,
     encode_rows,
@@ -151,3 +154,22 @@ def test_vectors_over_more_categories_than_label_lists_hold(spark):
     assert not vocabulary.is_local()
     row = encode_rows(df, vocabulary, ["id"]).filter("id = 7").first()
     assert row["features"].size == 100_001 and row["features"].numNonzeros() == 1
+
+
+def test_vector_entries_are_those_that_are_not_zero(spark):
+    rows = [
+        (1, Vectors.sparse(10**6, [3, 999_999], [1.5, -2.0])),
+        (2, Vectors.dense([0.0, 7.25, 1e-300])),
+        (3, Vectors.sparse(5, [], [])),
+        (4, Vectors.dense([])),
+        (5, None),
+        (6, Vectors.sparse(4, [1, 2], [0.0, 0.1])),
+    ]
+    table = spark.createDataFrame(rows, StructType([StructField("k", LongType()), StructField("v", VectorUDT())]))
+    found = vector_entries(table, "k", "v")
+    assert found.columns == ["k", "pos", "value"]
+    assert sorted(tuple(r) for r in found.collect()) == [
+        (1, 3, 1.5), (1, 999_999, -2.0), (2, 1, 7.25), (2, 2, 1e-300), (6, 2, 0.1),
+    ]
+    arrays = spark.createDataFrame([(1, [0.0, 2.0])], "k long, v array<double>")
+    assert [tuple(r) for r in vector_entries(arrays, "k", "v").collect()] == [(1, 1, 2.0)]
