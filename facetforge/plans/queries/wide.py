@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from facetforge.config import BoostSettings, ClassificationTask
 from facetforge.functions.columns import key_fraction
 from facetforge.operators.encoding import category_counts, fit_vocabulary
-from facetforge.operators.metrics import group_folds
+from facetforge.operators.metrics import confusion_matrix, group_folds, holdout_split, summary
 from facetforge.operators.vocabulary_state import merge_vocabulary, vocabulary_drift
 from facetforge.operators.wide_boosting import (
     WideSettings,
@@ -85,6 +85,14 @@ def trees_early_stopping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "round int, loss double, kept boolean")
 
 
+def holdout_metrics_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One split, learned on the training side of orders whose label no attribute
+    tells, judged on the other side."""
+    training, judged = holdout_split(table(spark, sf_dir, "orders"), ORDER_TASK.keys, 0.3)
+    model = fit_wide(training, ORDER_TASK, WideSettings(BoostSettings(rounds=1, max_depth=1)))
+    return summary(confusion_matrix(score_wide(judged, model, ORDER_TASK)))
+
+
 def grouped_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and customers by fold: a customer is in one fold only."""
     orders = group_folds(table(spark, sf_dir, "orders"), ["o_custkey"], 4)
@@ -124,6 +132,7 @@ QUERIES = {
     "trees_incremental": trees_incremental,
     "trees_early_stopping": trees_early_stopping,
     "grouped_folds": grouped_folds,
+    "holdout_metrics_noise": holdout_metrics_noise,
 }
 
 # Gradients of the first round are 0.5 - y, hessians 0.25.
@@ -211,6 +220,34 @@ SQL = {
         FROM ends JOIN leaves USING (node) GROUP BY 1, 2, 3
     """,
     "trees_incremental": "SELECT count(*) AS orders, 0::BIGINT AS differing FROM orders",
+    "holdout_metrics_noise": """
+        WITH base AS (
+            SELECT CAST('0x' || substr(md5(concat_ws('|', '7', o_orderkey)), 1, 13) AS BIGINT)
+                   / 4503599627370496.0 < 0.3 AS judged,
+                   CAST(o_orderstatus = 'F' AS INT) AS y, 0.5::DOUBLE - CAST(o_orderstatus = 'F' AS INT) AS g,
+                   CAST(o_custkey AS VARCHAR) AS c0, o_orderpriority AS c1 FROM orders),
+        wide AS (SELECT g, 0 AS a, c0 AS category FROM base WHERE NOT judged
+                 UNION ALL SELECT g, 1, c1 FROM base WHERE NOT judged),
+        cells AS (
+            SELECT a, category, sum(g) AS yg, count(*) * 0.25::DOUBLE AS yh,
+                   any_value(bg) AS bg, any_value(bh) AS bh
+            FROM wide, (SELECT sum(g) AS bg, count(*) * 0.25::DOUBLE AS bh FROM base WHERE NOT judged)
+            GROUP BY a, category),
+        root AS (
+            SELECT *, round((yg * yg / (yh + 1) + (bg - yg) * (bg - yg) / (bh - yh + 1)
+                   - bg * bg / (bh + 1)) / 2, 9) AS gain
+            FROM cells WHERE yh >= 1 AND bh - yh >= 1
+            QUALIFY row_number() OVER (ORDER BY gain DESC, a, category) = 1),
+        told AS (
+            SELECT y, CASE WHEN CASE a WHEN 0 THEN c0 ELSE c1 END = category
+                      THEN -yg / (yh + 1) ELSE -(bg - yg) / (bh - yh + 1) END > 0 AS p
+            FROM base, root WHERE judged),
+        n AS (SELECT count(*) AS total, count(*) FILTER ((y = 1) = p) AS correct,
+                     count(*) FILTER (y = 1 AND p) AS tp, count(*) FILTER (y = 0 AND p) AS fp,
+                     count(*) FILTER (y = 1 AND NOT p) AS fn FROM told)
+        SELECT total, correct, correct / total AS accuracy, tp / nullif(tp + fp, 0) AS precision,
+               tp / nullif(tp + fn, 0) AS recall, 2 * tp / nullif(2 * tp + fp + fn, 0) AS f1 FROM n
+    """,
     "grouped_folds": """
         SELECT CAST(floor(CAST('0x' || substr(md5(concat_ws('|', '7', o_custkey)), 1, 13) AS BIGINT)
                           / 4503599627370496.0 * 4) AS INTEGER) AS fold,
