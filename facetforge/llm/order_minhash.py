@@ -30,8 +30,6 @@ MINIMA = 3  # k-mers in a sketch
 # with; texts of similarity 0.8 share 8 on average. Those that share fewer are
 # left to the last step, which compares them by exact bounds.
 AGREEING = 3
-# How many sketches at most are combined to split mixed buckets.
-LEVELS = 3
 _CELLS = 1 << 20  # hashes computed at once
 _SLOTS = 1 << 20  # counters of k-mer frequencies; collisions only cost time
 # Words of 64 bits with the parities of the numbers of k-mers in hash cells.
@@ -459,7 +457,6 @@ def text_classes(
     texts_of,
     similarity: float = SIMILARITY,
     k: int = K,
-    levels: int = LEVELS,
     agreeing: int = AGREEING,
 ) -> DataFrame:
     """(key, component) of the texts that are linked to another.
@@ -469,75 +466,49 @@ def text_classes(
 
     Texts with an equal sketch share a bucket. Each bucket compares its texts
     with one head, the one whose buckets are fullest, so a group of n copies
-    takes n comparisons, not n * n. Buckets in which several components remain
-    are split by a second and a third sketch, with new heads, so texts far from
-    the first head still meet those close to them. All texts of first buckets
-    that still hold several components after that are compared by
-    ``possible_pairs``, so every similar pair with an equal sketch is linked.
+    takes n comparisons, not n * n. All texts of buckets that still hold several
+    components after that are compared by ``possible_pairs``, so every similar
+    pair with an equal sketch is linked.
     """
-    texts = labels = tested = shared = None
-    rows = nodes.select("key", F.posexplode("sketch").alias("top", "bucket"))
-    for level in range(levels):
-        rows = materialise(_with_component(rows, labels), "bucket-rows")
-        mixed = materialise(_mixed(rows), "buckets")
-        active = materialise(rows.join(mixed, "bucket"), "shared-buckets")
-        if texts is None:
-            texts = texts_of(active.select("key").distinct())
-            shared = active.select("key", "bucket")
-        fullness = active.groupBy("key").agg(F.sum("n").alias("fullness"))
-        heads = (
-            active.join(fullness, "key")
-            .groupBy("bucket")
-            .agg(F.max(F.struct("fullness", "key", "component")).alias("top_of"))
-            .select(
-                "bucket",
-                F.col("top_of.key").alias("head"),
-                F.col("top_of.component").alias("head_component"),
-            )
-        )
-        heads = materialise(heads, "heads")
-        pairs = (
-            active.join(heads, "bucket")
-            .filter(F.col("component") != F.col("head_component"))
-            .select("key", "head")
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["key", "head"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        own = nodes.select("key", "kmers", "sketch")
-        other = nodes.select(
-            F.col("key").alias("head"),
-            F.col("kmers").alias("head_kmers"),
-            F.col("sketch").alias("head_sketch"),
-        )
-        close = F.least("kmers", "head_kmers") >= F.lit(similarity) * F.greatest(
-            "kmers", "head_kmers"
-        ) - F.lit(1e-9)
-        likely = (
-            pairs.join(own, "key")
-            .join(other, "head")
-            .filter(close & (F.size(F.array_intersect("sketch", "head_sketch")) >= agreeing))
-            .select("key", "head")
-        )
-        found = materialise(confirm(likely, texts, similarity, k), "confirmed")
-        if not found.isEmpty():
-            labels = components(found) if labels is None else _merge_labels(labels, found)
-        if level + 1 < levels:
-            parents = active.select("bucket", "key", "top")
-            again = _with_component(parents, labels)
-            still = _mixed(again).select("bucket")
-            split = again.join(still, "bucket").join(nodes.select("key", "sketch"), "key")
-            rows = split.select(
-                "key", "bucket", "top", F.posexplode("sketch").alias("next", "value")
-            ).filter("next > top")
-            rows = rows.select(
-                "key",
-                F.col("next").alias("top"),
-                F.xxhash64("bucket", "value").alias("bucket"),
-            )
-    left_over = materialise(_with_component(shared, labels), "left-over")
+    rows = nodes.select("key", F.explode("sketch").alias("bucket"), F.col("key").alias("component"))
+    rows = materialise(rows, "bucket-rows")
+    mixed = materialise(_mixed(rows), "buckets")
+    active = materialise(rows.join(mixed, "bucket"), "shared-buckets")
+    texts = texts_of(active.select("key").distinct())
+    fullness = active.groupBy("key").agg(F.sum("n").alias("fullness"))
+    heads = (
+        active.join(fullness, "key")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("fullness", "key")).alias("top_of"))
+        .select("bucket", F.col("top_of.key").alias("head"))
+    )
+    heads = materialise(heads, "heads")
+    pairs = (
+        active.join(heads, "bucket")
+        .filter(F.col("key") != F.col("head"))
+        .select("key", "head")
+        .distinct()
+    )
+    own = nodes.select("key", "kmers", "sketch")
+    other = nodes.select(
+        F.col("key").alias("head"),
+        F.col("kmers").alias("head_kmers"),
+        F.col("sketch").alias("head_sketch"),
+    )
+    close = F.least("kmers", "head_kmers") >= F.lit(similarity) * F.greatest(
+        "kmers", "head_kmers"
+    ) - F.lit(1e-9)
+    likely = (
+        materialise(pairs, "pairs")
+        .join(own, "key")
+        .join(other, "head")
+        .filter(close & (F.size(F.array_intersect("sketch", "head_sketch")) >= agreeing))
+        .select("key", "head")
+    )
+    found = materialise(confirm(likely, texts, similarity, k), "confirmed")
+    labels = None if found.isEmpty() else components(found)
+    left_over = _with_component(active.select("key", "bucket"), labels)
+    left_over = materialise(left_over, "left-over")
     unsettled = left_over.join(_mixed(left_over).select("bucket"), "bucket", "left_semi")
     unsettled = materialise(unsettled.select("key", "component").distinct(), "unsettled")
     if not unsettled.isEmpty():
@@ -560,7 +531,6 @@ def near_duplicates(
     k: int = K,
     sketches: int = SKETCHES,
     minima: int = MINIMA,
-    levels: int = LEVELS,
 ) -> DataFrame:
     """(id, key, class_id, class_size, kept), one row for each row of ``docs``;
     the first column has the name of the id column.
@@ -587,7 +557,7 @@ def near_duplicates(
         one = keyed.groupBy("key").agg(F.first("text").alias("text"))
         return materialise(one.join(keys, "key", "left_semi"), "candidate-texts")
 
-    labels = text_classes(nodes, texts_of, similarity, k, levels)
+    labels = text_classes(nodes, texts_of, similarity, k)
     members = materialise(
         sketched.select("id", "key")
         .join(labels, "key", "left")
