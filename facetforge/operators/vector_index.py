@@ -35,6 +35,9 @@ from facetforge.storage import materialise
 # Rows that the centres are fitted on, at most. Rows are taken by a hash of their
 # id, so a repeated fit takes the same.
 SAMPLE_ROWS = 100_000
+# Rows of a part of the sample. The limit leaves them in one file, which would
+# make every pass of k-means a single task.
+_PART_ROWS = 2048
 # Cells, and bytes of their centres, which travel with the tasks.
 MAX_CELLS = 4096
 MAX_CENTRE_BYTES = 64 << 20
@@ -91,10 +94,12 @@ def fit_centres(
         .limit(sample_rows)
         .select(array_to_vector(unit).alias("features"))
     )
-    sample = materialise(sample, "index-sample")
+    sample = materialise(sample.repartition(-(-min(number, sample_rows) // _PART_ROWS)), "index-sample")
     if sample.isEmpty():
         return np.zeros((1, width))
-    model = KMeans(k=max(2, wanted), seed=seed, maxIter=20).fit(sample)
+    # By blocks, because the solver by rows compares all centres with each other
+    # before every pass, in one task for each centre.
+    model = KMeans(k=max(2, wanted), seed=seed, maxIter=20, solver="block").fit(sample)
     return np.array(model.clusterCenters())
 
 

@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from facetforge.operators import vector_index
 from facetforge.operators.similarity import nearest_documents
 from facetforge.operators.vector_index import add_to_index, build_index, open_index, search_index
 from facetforge.operators.vector_tiles import nearest_for_many
@@ -110,3 +112,23 @@ def test_edge_cases(spark, documents, tmp_path):
     short = spark.createDataFrame([(1, [1.0])], "query_id long, query_vector array<double>")
     with pytest.raises(Exception, match="elements"):
         nearest_for_many(documents, short, 3).collect()
+
+
+def test_centres_are_fitted_by_many_tasks(spark, monkeypatch):
+    fitted = []
+
+    class Watched(vector_index.KMeans):
+        def fit(self, sample):
+            fitted.append((self.getSolver(), sample))
+            return super().fit(sample)
+
+    monkeypatch.setattr(vector_index, "KMeans", Watched)
+    rows = list(enumerate(make_vectors(9000)))
+    documents = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    index_rows = documents.withColumnRenamed("features", "vector")
+    assert vector_index.fit_centres(index_rows, cells=6, sample_rows=8000).shape == (6, 8)
+    ((solver, sample),) = fitted
+    assert solver == "block"
+    sizes = [r["count"] for r in sample.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 8000
+    assert len(sizes) == 4 and max(sizes) < 2100
