@@ -10,7 +10,7 @@ it then looks into all further cells that this bound does not rule out.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +26,7 @@ from facetforge.operators.vector_tiles import (
     SIMILARITY_DECIMALS,
     TILE_BYTES,
     best_of_each,
+    of_cell,
     tiled_best,
     vectors_of,
     width_of,
@@ -43,6 +44,10 @@ MAX_CELLS = 4096
 MAX_CENTRE_BYTES = 64 << 20
 # Cells looked into at first.
 PROBES = 8
+# Blocks that the exact step deals cells into: so many at least, for as many
+# tasks, and none of more than this part of a tile.
+_LEAST_BLOCKS = 64
+_PART_OF_TILE = 4
 # What rounding may take from a bound.
 _SLACK = 10.0 ** (1 - SIMILARITY_DECIMALS)
 
@@ -183,12 +188,23 @@ def add_to_index(
     _write(_placed(_unit(documents, id_column, vector_column), index.centres), index.path)
 
 
+def _distances(vectors: pa.Array, centres: np.ndarray, filled: np.ndarray) -> np.ndarray:
+    """From each vector to each centre; infinite for vectors of length zero and to
+    empty cells."""
+    unit = vectors_of(vectors, centres.shape[1])
+    distance = np.sqrt(np.maximum(1.0 - 2.0 * unit @ centres.T + (centres * centres).sum(axis=1), 0.0))
+    return np.where(np.isnan(distance) | ~filled, np.inf, distance)
+
+
+def _nearest(distance: np.ndarray, probes: int) -> np.ndarray:
+    rank = np.argsort(np.argsort(distance, axis=1, kind="stable"), axis=1, kind="stable")
+    return (rank < probes) & np.isfinite(distance)
+
+
 def _cells_of_queries(
-    queries: DataFrame, index: VectorIndex, radii: list[float], probes: int, further: bool
+    queries: DataFrame, index: VectorIndex, radii: list[float], probes: int
 ) -> DataFrame:
-    """(cell, query_id, vector) for the cells each query looks into: the nearest
-    ``probes``, or, from queries with ``reach``, those beyond that the bound does
-    not rule out."""
+    """(cell, query_id, vector) for the ``probes`` cells nearest to each query."""
     sent = queries.sparkSession.sparkContext.broadcast((index.centres, np.array(radii)))
     schema = T.StructType(
         [
@@ -200,23 +216,10 @@ def _cells_of_queries(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, radii = sent.value
-        lengths = (centres * centres).sum(axis=1)
-        filled = radii >= 0
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                unit = vectors_of(part.column(1), centres.shape[1])
-                distance = np.sqrt(np.maximum(1.0 - 2.0 * unit @ centres.T + lengths, 0.0))
-                distance[:, ~filled] = np.inf  # empty cells
-                rank = np.argsort(np.argsort(distance, axis=1, kind="stable"), axis=1, kind="stable")
-                near = (rank < probes) & np.isfinite(distance)
-                if further:
-                    reach = part.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
-                    reach = np.where(np.isnan(reach), np.inf, reach)
-                    wanted = ~near & np.isfinite(distance) & (distance - radii <= reach[:, None])
-                else:
-                    wanted = near
-                row, cell = np.nonzero(wanted)
+                row, cell = np.nonzero(_nearest(_distances(part.column(1), centres, radii >= 0), probes))
                 taken = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -227,8 +230,69 @@ def _cells_of_queries(
                     names=schema.names,
                 )
 
-    columns = ["query_id", "vector", *(["reach"] if further else [])]
-    return queries.select(*columns).mapInArrow(run, schema)
+    return queries.select("query_id", "vector").mapInArrow(run, schema)
+
+
+def _blocks(held: Mapping[int, int], cells: int, rows: int) -> list[int]:
+    """The block of each cell: runs of cells of about ``rows`` rows together. A
+    fuller cell is a block of its own."""
+    blocks, block, taken = [], 0, 0
+    for cell in range(cells):
+        own = held.get(cell, 0)
+        if taken and taken + own > rows:
+            block, taken = block + 1, 0
+        taken += own
+        blocks.append(block)
+    return blocks
+
+
+def _further_blocks(
+    queries: DataFrame, index: VectorIndex, radii: list[float], probes: int, blocks: list[int]
+) -> DataFrame:
+    """(cell, query_id, vector, entry, wanted) for the blocks (as ``cell``) that
+    have cells beyond the nearest ``probes`` which ``reach`` does not rule out;
+    ``wanted`` are these cells. A query goes to a block once, however many of its
+    cells it looks into."""
+    sent = queries.sparkSession.sparkContext.broadcast((index.centres, np.array(radii), np.array(blocks)))
+    schema = T.StructType(
+        [
+            T.StructField("cell", T.IntegerType()),
+            queries.schema["query_id"],
+            T.StructField("vector", T.ArrayType(T.DoubleType())),
+            T.StructField("entry", T.DoubleType()),
+            T.StructField("wanted", T.ArrayType(T.IntegerType())),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, radii, blocks = sent.value
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                distance = _distances(part.column(1), centres, radii >= 0)
+                reach = part.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
+                reach = np.where(np.isnan(reach), np.inf, reach)
+                entry = part.column(3).to_numpy(zero_copy_only=False).astype(np.float64)
+                entry = np.where(np.isnan(entry), -np.inf, entry)
+                wanted = ~_nearest(distance, probes) & np.isfinite(distance)
+                row, cell = np.nonzero(wanted & (distance - radii <= reach[:, None]))
+                # Cells of a block follow each other, so the lists are slices.
+                start = np.flatnonzero(np.diff(row * len(blocks) + blocks[cell], prepend=-1))
+                taken = pa.array(row[start])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(blocks[cell[start]], pa.int32()),
+                        part.column(0).take(taken),
+                        part.column(1).take(taken),
+                        pa.array(entry[row[start]]),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.append(start, len(cell)), pa.int32()), pa.array(cell, pa.int32())
+                        ),
+                    ],
+                    names=schema.names,
+                )
+
+    return queries.select("query_id", "vector", "reach", "entry").mapInArrow(run, schema)
 
 
 def search_index(
@@ -251,25 +315,32 @@ def search_index(
         column(query_vector).cast("array<double>").alias("vector"),
     ).filter(F.col("vector").isNotNull())
     rows = index.rows(spark).filter("cell >= 0")
-    # One number for each cell.
+    # Two numbers for each cell.
     found = {
-        r["cell"]: r["radius"]
-        for r in rows.groupBy("cell").agg(F.max("distance").alias("radius")).collect()
+        r["cell"]: r
+        for r in rows.groupBy("cell").agg(F.max("distance").alias("radius"), F.count("*").alias("n")).collect()
     }
-    radii = [found.get(c, -1.0) for c in range(index.cells)]
+    radii = [found[c]["radius"] if c in found else -1.0 for c in range(index.cells)]
     width = index.centres.shape[1]
     stored = rows.select("cell", "id", "vector")
-    near = materialise(_cells_of_queries(asked, index, radii, probes, False), "probed")
+    near = materialise(_cells_of_queries(asked, index, radii, probes), "probed")
     best = tiled_best(near, stored, k, width, tile_bytes)
     if exact:
         best = materialise(best, "probed-best")
-        # The distance of the k-th row found so far; with fewer, no bound.
+        # The k-th row found so far and its distance; with fewer, no bound.
         last = best.filter(F.col("rank") == k).select(
             "query_id",
+            F.col("similarity").alias("entry"),
             F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("similarity")) + F.lit(2 * _SLACK)).alias("reach"),
         )
         bounded = asked.join(last, "query_id", "left").withColumn("reach", F.col("reach") + F.lit(_SLACK))
-        beyond = materialise(_cells_of_queries(bounded, index, radii, probes, True), "further")
-        more = tiled_best(beyond, stored, k, width, tile_bytes)
+        held = {c: r["n"] for c, r in found.items()}
+        most = tile_bytes // (8 * _PART_OF_TILE * max(1, width))
+        blocks = _blocks(held, index.cells, min(most, -(-sum(held.values()) // _LEAST_BLOCKS)))
+        beyond = materialise(_further_blocks(bounded, index, radii, probes, blocks), "further")
+        in_blocks = stored.select(
+            of_cell(dict(enumerate(blocks))).alias("cell"), "id", "vector", F.col("cell").alias("part")
+        )
+        more = tiled_best(beyond, in_blocks, k, width, tile_bytes)
         best = best_of_each(best.drop("rank").unionByName(more.drop("rank")), k)
     return best.withColumnsRenamed({"query_id": query_id})

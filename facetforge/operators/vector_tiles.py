@@ -42,26 +42,38 @@ def vectors_of(values: pa.Array | pa.ChunkedArray, size: int | None = None) -> n
 
 
 def best_of_tile(
-    left: np.ndarray, right: np.ndarray, right_ids: pa.Array, k: int
+    left: np.ndarray,
+    right: np.ndarray,
+    right_ids: pa.Array,
+    k: int,
+    entry: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of left, row of right, similarity) of the k most similar rows of
-    ``right`` for each row of ``left``; ties by id."""
+    ``right`` for each row of ``left``; ties by id. ``entry`` has the similarity
+    that each row of ``left`` asks for at least, -inf for none."""
     # Places of the right side by id, so that a stable sort settles ties.
     by_id = pc.sort_indices(right_ids).to_numpy()
     right = right[by_id]
     rows, found, scores = [], [], []
     step = max(1, _CELLS // max(1, len(right)))
     for first in range(0, len(left), step):
-        similarity = np.round(left[first : first + step] @ right.T, SIMILARITY_DECIMALS)
-        # NaN, of vectors of length zero, is similar to nothing.
-        similarity = np.where(np.isnan(similarity), -np.inf, similarity)
-        if k < similarity.shape[1]:
-            # All that reach the k-th similarity, ties included.
-            least = -np.partition(-similarity, k - 1, axis=1)[:, k - 1]
-        else:
+        similarity = left[first : first + step] @ right.T
+        if entry is None:
             least = np.full(len(similarity), -np.inf)
-        row, place = np.nonzero((similarity >= least[:, None]) & (similarity > -np.inf))
-        score = similarity[row, place]
+        else:
+            least = entry[first : first + step].copy()
+        unbound = np.flatnonzero(least == -np.inf)
+        if len(unbound) and k < similarity.shape[1]:
+            # All that reach the k-th similarity, ties included. NaN, of vectors
+            # of length zero, is similar to nothing.
+            some = np.round(similarity[unbound], SIMILARITY_DECIMALS)
+            some = np.where(np.isnan(some), -np.inf, some)
+            least[unbound] = -np.partition(-some, k - 1, axis=1)[:, k - 1]
+        # Only what may reach it is rounded.
+        row, place = np.nonzero(similarity >= (least - 10.0**-SIMILARITY_DECIMALS)[:, None])
+        score = np.round(similarity[row, place], SIMILARITY_DECIMALS)
+        reached = score >= least[row]
+        row, place, score = row[reached], place[reached], score[reached]
         order = np.lexsort((place, -score, row))
         row, place, score = row[order], place[order], score[order]
         start = np.searchsorted(row, row)
@@ -74,6 +86,40 @@ def best_of_tile(
     return np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
 
 
+def best_of_parts(
+    left: np.ndarray,
+    right: np.ndarray,
+    right_ids: pa.Array,
+    k: int,
+    entry: np.ndarray,
+    wanted: pa.ListArray,
+    part: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``best_of_tile``, but a row of ``left`` meets only the rows of
+    ``right`` whose part is among those it wants."""
+    owner = np.repeat(np.arange(len(left)), pc.list_value_length(wanted).to_numpy(zero_copy_only=False))
+    asked = wanted.flatten().to_numpy(zero_copy_only=False)
+    by_part, by_asked = np.argsort(part, kind="stable"), np.argsort(asked, kind="stable")
+    part, asked, owner = part[by_part], asked[by_asked], owner[by_asked]
+    rows, found, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    for p in np.unique(part):
+        who = owner[np.searchsorted(asked, p) : np.searchsorted(asked, p, "right")]
+        places = by_part[np.searchsorted(part, p) : np.searchsorted(part, p, "right")]
+        row, place, score = best_of_tile(
+            left[who], right[places], right_ids.take(pa.array(places)), k, entry[who]
+        )
+        rows.append(who[row])
+        found.append(places[place])
+        scores.append(score)
+    row, place, score = np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
+    rank = np.empty(len(right), np.int64)
+    rank[pc.sort_indices(right_ids).to_numpy()] = np.arange(len(right))
+    order = np.lexsort((rank[place], -score, row))
+    row, place, score = row[order], place[order], score[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[kept], place[kept], score[kept]
+
+
 def _tiles(counts: Mapping[int, int], width: int, tile_bytes: int) -> dict[int, int]:
     rows = max(1, tile_bytes // (8 * max(1, width)))
     return {cell: -(-n // rows) for cell, n in counts.items()}
@@ -84,7 +130,7 @@ def _count(df: DataFrame) -> dict[int, int]:
     return {r["cell"]: r["n"] for r in df.groupBy("cell").agg(F.count("*").alias("n")).collect()}
 
 
-def _of_cell(values: Mapping[int, int]) -> Column:
+def of_cell(values: Mapping[int, int]) -> Column:
     """The value of the row's cell. Cells are numbers from 0 on."""
     listed = [values.get(c, 0) for c in range(max(values) + 1)]
     return F.get(F.split(F.lit(",".join(map(str, listed))), ",").cast("array<int>"), F.col("cell"))
@@ -96,8 +142,11 @@ def tiled_best(
     """(query_id, rank, id, similarity) for queries (cell, query_id, vector) and
     documents (cell, id, vector): the best k documents of the query's cells.
 
-    Any number of rows may share a cell: cells are cut into tiles by hashes.
+    Any number of rows may share a cell: cells are cut into tiles by hashes. If
+    documents have a ``part``, queries have the list of the parts they look into
+    (``wanted``) and the similarity they ask for at least (``entry``).
     """
+    parted = "part" in documents.columns
     asked, held = _count(queries), _count(documents)
     both = asked.keys() & held.keys()
     schema = T.StructType(
@@ -113,31 +162,40 @@ def tiled_best(
     above = _tiles({c: asked[c] for c in both}, width, tile_bytes)
     beside = _tiles({c: held[c] for c in both}, width, tile_bytes)
 
-    def dealt(df: DataFrame, key: str, own: dict, other: dict, mine: str, theirs: str) -> DataFrame:
+    def dealt(
+        df: DataFrame, key: str, own: dict, other: dict, mine: str, theirs: str, *extra: str
+    ) -> DataFrame:
         """Each row in its own tile, once for every tile of the other side."""
         met = df.filter(F.col("cell").isin(*both)) if len(both) < max(len(asked), len(held)) else df
         return met.select(
             "cell",
             key,
             "vector",
-            F.pmod(F.xxhash64(key), _of_cell(own).cast("long")).cast("int").alias(mine),
-            F.explode(F.sequence(F.lit(0), _of_cell(other) - F.lit(1))).alias(theirs),
+            *extra,
+            F.pmod(F.xxhash64(key), of_cell(own).cast("long")).cast("int").alias(mine),
+            F.explode(F.sequence(F.lit(0), of_cell(other) - F.lit(1))).alias(theirs),
         )
 
-    left = dealt(queries, "query_id", above, beside, "above", "beside")
-    right = dealt(documents, "id", beside, above, "beside", "above")
+    bounds = ("entry", "wanted") if parted else ()
+    left = dealt(queries, "query_id", above, beside, "above", "beside", *bounds)
+    right = dealt(documents, "id", beside, above, "beside", "above", *(("part",) if parted else ()))
 
     def compare(some: pa.Table, others: pa.Table) -> pa.Table:
-        row, place, score = best_of_tile(
-            vectors_of(some["vector"], width),
-            vectors_of(others["vector"], width),
-            others["id"].combine_chunks(),
-            k,
-        )
+        ids = others["id"].combine_chunks()
+        both = vectors_of(some["vector"], width), vectors_of(others["vector"], width), ids, k
+        if parted:
+            row, place, score = best_of_parts(
+                *both,
+                some["entry"].to_numpy(),
+                some["wanted"].combine_chunks(),
+                others["part"].to_numpy(),
+            )
+        else:
+            row, place, score = best_of_tile(*both)
         return pa.table(
             {
                 "query_id": some["query_id"].combine_chunks().take(pa.array(row)),
-                "id": others["id"].combine_chunks().take(pa.array(place)),
+                "id": ids.take(pa.array(place)),
                 "similarity": pa.array(score),
             }
         )

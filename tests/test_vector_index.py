@@ -132,3 +132,30 @@ def test_centres_are_fitted_by_many_tasks(spark, monkeypatch):
     sizes = [r["count"] for r in sample.groupBy(F.input_file_name()).count().collect()]
     assert sum(sizes) == 8000
     assert len(sizes) == 4 and max(sizes) < 2100
+
+
+def test_exact_step_sends_a_query_to_a_block_once(spark, tmp_path, monkeypatch):
+    written = {}
+    materialise = vector_index.materialise
+    monkeypatch.setattr(
+        vector_index, "materialise", lambda df, name: written.setdefault(name, materialise(df, name))
+    )
+    monkeypatch.setattr(vector_index, "_LEAST_BLOCKS", 4)
+    # Vectors without clusters: the bound rules out next to no cell.
+    vectors = np.random.default_rng(3).normal(size=(800, 16)).tolist()
+    vectors[300:340] = [vectors[20]] * 40  # more copies than are asked for
+    rows = list(enumerate(vectors))
+    documents = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    asked, queries = some_queries(spark, rows)
+    index = build_index(documents, str(tmp_path / "i"), cells=32)
+    assert as_set(search_index(index, queries, 7, probes=2)) == nearest(rows, asked, 7)
+    cells = index.rows(spark).select("cell").distinct().count()
+    further = written["further"]
+    looked_into = further.agg(F.sum(F.size("wanted"))).first()[0]
+    assert looked_into > len(asked) * (cells - 2) * 0.8
+    assert further.count() <= 6 * len(asked)
+
+
+def test_blocks_are_runs_of_cells():
+    held = {0: 3, 1: 3, 3: 20, 4: 5, 5: 5, 6: 1}
+    assert vector_index._blocks(held, 8, 10) == [0, 0, 0, 1, 2, 2, 3, 3]
